@@ -24,11 +24,11 @@ def msfe_of(actual: Column | str, pred: Column | str) -> Column:
 
 def r2_of(actual: Column | str, pred: Column | str) -> Column:
     """1 - residual over total sum of squares. The total is n times the population
-    variance, so one pass is enough."""
+    variance, so one pass is enough. A constant target gives null."""
     a, p = _col(actual), _col(pred)
     both = a.isNotNull() & p.isNotNull()
     rest = F.sum(F.when(both, F.pow(a - p, F.lit(2.0))))
-    return 1 - rest / (F.count_if(both) * F.var_pop(F.when(both, a)))
+    return 1 - F.try_divide(rest, F.count_if(both) * F.var_pop(F.when(both, a)))
 
 
 def accuracy_of(label: Column | str, pred: Column | str, threshold: float | None = None) -> Column:

@@ -174,8 +174,8 @@ def fit_one(y: np.ndarray, spec: Sarima, exact: bool = True) -> Fitted:
         return total if math.isfinite(total) else 1e10
 
     with np.errstate(all="ignore"):
-        raw = _minimise(conditional, np.zeros(p + big_p + q + big_q))
         use_exact = exact and len(w) <= EXACT_LIMIT
+        raw = _minimise(conditional, np.zeros(p + big_p + q + big_q), 15 if use_exact else 60)
         if use_exact and likelihood(raw) >= 1e10:
             raw = np.zeros_like(raw)
         if use_exact:

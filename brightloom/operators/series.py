@@ -208,8 +208,8 @@ def seasonal_ar1(series: DataFrame, frames: DataFrame, keys: list[str], s: int)
     found = wanted.select(*keys, *FRAME, "_w.spot", "_w.t").join(state, [*keys, "t"])
     pick = lambda spot, value: F.max(F.when(F.col("spot") == spot, F.col(value)))
     fit = found.groupBy(*keys, *FRAME).agg(
-        ((pick("end", "cross") - pick("start", "cross"))
-         / (pick("end", "power") - pick("start", "power"))).alias("coefficient"),
+        F.try_divide(pick("end", "cross") - pick("start", "cross"),
+                     pick("end", "power") - pick("start", "power")).alias("coefficient"),
         pick("season", "y").alias("_y"), pick("end", "u").alias("_u"),
         (pick("season", "u") - pick("before", "u")).alias("_du"),
         pick("goal", "y").alias("actual"))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .ordering import quantiles_wide
@@ -92,31 +95,74 @@ def dtypes(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
 
 
-PAIRS_PER_PASS = 150
+PAIRS_AS_EXPRESSIONS = 30
+
+
+def pearson(a: Column, b: Column) -> Column:
+    """Correlation over rows where both are present; null where one is constant
+    (the built-in divides by zero there)."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+
+
+def _pairs_by_expression(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    wide = df.agg(*[pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
+                    for i, (a, b) in enumerate(pairs)])
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
+        for i, (a, b) in enumerate(pairs)])).alias("p")).select("p.*")
+
+
+def _pairs_by_products(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Many columns: every task multiplies its batches as matrices and sends one
+    column-by-column table of sums; values are shifted by the means for accuracy."""
+    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    means = data.agg(*[F.avg(c) for c in data.columns]).first()
+    shift = np.array([m if m is not None else 0.0 for m in means])
+    names, size = data.columns, len(cols)
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((6, size, size))
+        for pdf in batches:
+            x = pdf[names].to_numpy(float) - shift
+            known = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            square = x * x
+            sums += np.stack([known.T @ known, x.T @ known, known.T @ x,
+                              square.T @ known, known.T @ square, x.T @ x])
+        yield pd.DataFrame({"cells": [sums.ravel()]})
+
+    cells = (data.mapInPandas(products, "cells array<double>")
+             .select(F.posexplode("cells").alias("at", "cell"))
+             .groupBy("at").agg(F.sum("cell").alias("cell")))
+    plane, pair = F.floor(F.col("at") / (size * size)), F.col("at") % (size * size)
+    sums = cells.groupBy(pair.alias("pair")).agg(*[
+        F.sum(F.when(plane == i, F.col("cell"))).alias(n)
+        for i, n in enumerate(["n", "sa", "sb", "saa", "sbb", "sab"])])
+    i, j = F.floor(F.col("pair") / size), F.col("pair") % size
+    covariance = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n"))
+    power = ((F.col("saa") - F.try_divide(F.col("sa") * F.col("sa"), F.col("n")))
+             * (F.col("sbb") - F.try_divide(F.col("sb") * F.col("sb"), F.col("n"))))
+    label = lambda at: F.element_at(F.array(*[F.lit(c) for c in cols]), (at + 1).cast("int"))
+    return (sums.where(i < j)
+            .select(label(i).alias("a"), label(j).alias("b"),
+                    F.when(power > 0, F.try_divide(covariance, F.sqrt(power))).alias("r")))
 
 
 def corr_matrix(df: DataFrame, cols: list[str], triangle: str = "full") -> DataFrame:
     """Pearson correlations over pairwise complete rows as (a, b, r). `triangle` is
-    full, lower or upper (both without the diagonal). Every pair is computed once;
-    very wide input takes several passes of a fixed number of pairs."""
+    full, lower or upper (both without the diagonal). Every pair is computed once,
+    all in one pass: as expressions for few columns, as matrix products for many."""
     pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    frames = []
-    for at in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[at:at + PAIRS_PER_PASS]
-        wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                        for i, (a, b) in enumerate(chunk)])
-        frames.append(wide.select(F.explode(F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(chunk)])).alias("p")).select("p.*"))
-    upper = reduce(DataFrame.unionByName, frames)
-    lower = upper.select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
+    upper = (_pairs_by_expression(df, pairs) if len(pairs) <= PAIRS_AS_EXPRESSIONS
+             else _pairs_by_products(df, cols))
     if triangle == "upper":
         return upper
     if triangle == "lower":
-        return lower
+        return upper.select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
     both = F.array(F.struct("a", "b", "r"),
                    F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
-    diagonal = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], upper.schema)
+    diagonal = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "a string, b string, r double")
     return upper.select(F.explode(both).alias("p")).select("p.*").unionByName(diagonal)
 
 
@@ -165,9 +211,9 @@ def normal_curve(df: DataFrame, column: str, by: list[str] = (), points: int = 1
     stats = df.groupBy(*by).agg(F.avg(column).alias("mu"), F.stddev_samp(column).alias("sigma"))
     grid = stats.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     x = F.col("mu") - 3 * F.col("sigma") + F.col("i") * (6 * F.col("sigma") / (points - 1))
-    z = (F.col("x") - F.col("mu")) / F.col("sigma")
+    z = F.try_divide(F.col("x") - F.col("mu"), F.col("sigma"))
     return (grid.withColumn("x", x)
-            .withColumn("density", F.exp(-z * z / 2) / (F.col("sigma") * math.sqrt(2 * math.pi)))
+            .withColumn("density", F.try_divide(F.exp(-z * z / 2), F.col("sigma") * math.sqrt(2 * math.pi)))
             .drop("mu", "sigma"))
 
 
@@ -176,7 +222,7 @@ def kde(df: DataFrame, cols: list[str], points: int = 100, bins: int = 512,
     """Gaussian kernel density per column on an even grid reaching 3 bandwidths past
     the data. Values are first counted in `bins` bins and enter at the bin centre,
     so the kernel sum has at most bins x points terms per column however many rows
-    there are. `bandwidth`: ``scott`` (sd n^-1/5) or ``nrd0`` (0.9 min(sd, iqr/1.34) n^-1/5)."""
+    there are. A constant column has no density and gives no rows. `bandwidth`: ``scott`` (sd n^-1/5) or ``nrd0`` (0.9 min(sd, iqr/1.34) n^-1/5)."""
     long = melt(df, [], cols).where(F.col("value").isNotNull())
     stats = long.groupBy("variable").agg(
         F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("value").alias("_n"),
@@ -191,18 +237,19 @@ def kde(df: DataFrame, cols: list[str], points: int = 100, bins: int = 512,
     stats = stats.select("variable", "_lo", "_hi", "_n", bw.alias("_bw"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     binned = (attach(long, stats, ["variable"])
-              .withColumn("_bin", F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1)))
+              .where(F.col("_bw") > 0)
+              .withColumn("_bin", F.least(F.floor(F.try_divide(F.col("value") - F.col("_lo"), width)), F.lit(bins - 1)))
               .groupBy("variable", "_lo", "_hi", "_n", "_bw", "_bin")
               .agg(F.count(F.lit(1)).alias("_w")))
     start, stop = F.col("_lo") - 3 * F.col("_bw"), F.col("_hi") + 3 * F.col("_bw")
     terms = (binned.withColumn("_c", F.col("_lo") + (F.col("_bin") + 0.5) * width)
              .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
              .withColumn("x", start + F.col("i") * (stop - start) / (points - 1)))
-    z = (F.col("x") - F.col("_c")) / F.col("_bw")
+    z = F.try_divide(F.col("x") - F.col("_c"), F.col("_bw"))
     return (terms.groupBy("variable", "i").agg(
         F.min("x").alias("x"),
-        F.sum(F.col("_w") * F.exp(-z * z / 2)
-              / (F.col("_n") * F.col("_bw") * math.sqrt(2 * math.pi))).alias("density")))
+        F.sum(F.try_divide(F.col("_w") * F.exp(-z * z / 2),
+                           F.col("_n") * F.col("_bw") * math.sqrt(2 * math.pi))).alias("density")))
 
 
 def box_stats(df: DataFrame, column: str, by: list[str] = ()) -> DataFrame:

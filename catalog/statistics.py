@@ -90,6 +90,17 @@ def _(t):
     return A.corr_matrix(t.lineitem, NUMBERS, "lower").withColumn("r", F.round("r", 6))
 
 
+WIDE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *NUMBERS, "late"]
+
+
+@entry("a09_correlation_wide", f"""
+    WITH w AS (SELECT *, CASE WHEN l_orderkey % 5 <> 0 THEN l_quantity * l_tax END AS late FROM lineitem)
+    {_corr_sql('w', None, [(a, b) for i, a in enumerate(WIDE) for b in WIDE[i + 1:]])}""")
+def _(t):
+    late = F.when(F.col("l_orderkey") % 5 != 0, F.col("l_quantity") * F.col("l_tax"))
+    return A.corr_matrix(t.lineitem.withColumn("late", late), WIDE, "upper").withColumn("r", F.round("r", 6))
+
+
 @entry("a10_correlation_of_means", f"""
     WITH m AS (SELECT l_suppkey, avg(l_quantity) AS l_quantity, avg(l_discount) AS l_discount, avg(l_tax) AS l_tax
                FROM lineitem GROUP BY 1)
