@@ -151,7 +151,113 @@ def _porter(words: Column) -> Column:
     return F.transform(marked, lambda w: F.ltrim(w, F.lit("=")))
 
 
-STEMMERS = {"porter": _porter}
+# --- fixed values: the English stemmer of the Snowball family (Porter 2) ---
+
+EXCEPTIONAL = "gener|commun|arsen"
+REGION_1 = f"(?:(?:{EXCEPTIONAL})|(?!{EXCEPTIONAL})[^aeiouy]*[aeiouy]+[^aeiouy])"
+REGION_2 = f"{REGION_1}[^aeiouy]*[aeiouy]+[^aeiouy]"
+SHORT_SYLLABLE = "(?:[^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])$"
+ENGLISH_2 = [("ization", "ize"), ("ational", "ate"), ("fulness", "ful"), ("ousness", "ous"),
+             ("iveness", "ive"), ("tional", "tion"), ("biliti", "ble"), ("lessli", "less"),
+             ("entli", "ent"), ("ation", "ate"), ("alism", "al"), ("aliti", "al"), ("ousli", "ous"),
+             ("iviti", "ive"), ("fulli", "ful"), ("enci", "ence"), ("anci", "ance"), ("abli", "able"),
+             ("izer", "ize"), ("ator", "ate"), ("alli", "al"), ("bli", "ble")]
+ENGLISH_3 = [("ational", "ate"), ("tional", "tion"), ("alize", "al"), ("icate", "ic"), ("iciti", "ic"),
+             ("ical", "ic"), ("ness", ""), ("ful", "")]
+ENGLISH_4 = ["ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate", "iti", "ous",
+             "ive", "ize", "al", "er", "ic"]
+ENGLISH_WORDS = {"skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
+                 "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
+                 "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas",
+                 "cosmos": "cosmos", "bias": "bias", "andes": "andes"}
+ENGLISH_KEPT = ["inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"]
+
+
+def _mark_y(w: Column) -> Column:
+    """A y that starts the word or follows a vowel is a consonant, written Y."""
+    return F.regexp_replace(F.regexp_replace(w, "^y", "Y"), "([aeiou])y", "$1Y")
+
+
+def _possessive(w: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(w, "^'", ""), "('s'|'s|')$", "")
+
+
+def _english_plural(w: Column) -> Column:
+    ies = F.when(F.length(w) > 4, _cut(w, 2)).otherwise(_cut(w, 1))
+    return _first_suffix(w, [
+        ("sses", _cut(w, 2)), ("ied", ies), ("ies", ies), ("us", w), ("ss", w),
+        ("s", F.when(w.rlike("[aeiouy].+s$"), _cut(w, 1)).otherwise(w))])
+
+
+def _kept(w: Column) -> Column:
+    return F.when(w.isin(ENGLISH_KEPT), F.concat(F.lit("="), w)).otherwise(w)
+
+
+def _english_participle(w: Column) -> Column:
+    def cut(suffix: str) -> Column:
+        rest = _cut(w, len(suffix))
+        return F.when(rest.rlike("[aeiouy]"), F.concat(F.lit("+"), rest)).otherwise(w)
+    return _first_suffix(w, [
+        ("eedly", _replace(w, REGION_1, "eedly", "ee")), ("ingly", cut("ingly")), ("edly", cut("edly")),
+        ("eed", _replace(w, REGION_1, "eed", "ee")), ("ing", cut("ing")), ("ed", cut("ed"))])
+
+
+def _english_repair(marked: Column) -> Column:
+    w = marked.substr(F.lit(2), F.length(marked))
+    fixed = (F.when(w.rlike("(?:at|bl|iz)$"), F.concat(w, F.lit("e")))
+             .when(w.rlike("(?:bb|dd|ff|gg|mm|nn|pp|rr|tt)$"), _cut(w, 1))
+             .when(w.rlike(SHORT_SYLLABLE) & ~w.rlike(f"^{REGION_1}."), F.concat(w, F.lit("e")))
+             .otherwise(w))
+    return F.when(marked.startswith("+"), fixed).otherwise(marked)
+
+
+def _english_final_y(w: Column) -> Column:
+    return F.when(w.rlike("^.+[^aeiouy][yY]$"), F.concat(_cut(w, 1), F.lit("i"))).otherwise(w)
+
+
+def _english_2(w: Column) -> Column:
+    rules = [(s, _replace(w, REGION_1, s, r)) for s, r in ENGLISH_2]
+    return _first_suffix(w, [*rules,
+                             ("ogi", F.when(w.endswith("logi"), _replace(w, REGION_1, "ogi", "og")).otherwise(w)),
+                             ("li", F.when(w.rlike("[cdeghkmnrt]li$"), _replace(w, REGION_1, "li", "")).otherwise(w))])
+
+
+def _english_3(w: Column) -> Column:
+    rules = [(s, _replace(w, REGION_1, s, r)) for s, r in ENGLISH_3]
+    return _first_suffix(w, [*rules, ("ative", _replace(w, REGION_2, "ative", ""))])
+
+
+def _english_4(w: Column) -> Column:
+    ion = F.when(w.rlike("[st]ion$"), _replace(w, REGION_2, "ion", "")).otherwise(w)
+    return _first_suffix(w, [*[(s, _replace(w, REGION_2, s, "")) for s in ENGLISH_4], ("ion", ion)])
+
+
+def _english_5(w: Column) -> Column:
+    rest = _cut(w, 1)
+    drop_e = w.rlike(f"^{REGION_2}.*e$") | (w.rlike(f"^{REGION_1}.*e$") & ~rest.rlike(SHORT_SYLLABLE))
+    return (F.when(w.endswith("e") & drop_e, rest)
+            .when(w.endswith("ll") & w.rlike(f"^{REGION_2}.*l$"), rest).otherwise(w))
+
+
+ENGLISH_STEPS = [_possessive, _mark_y, _english_plural, _kept, _english_participle, _english_repair,
+                 _english_final_y, _english_2, _english_3, _english_4, _english_5]
+
+
+def _snowball(words: Column) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in ENGLISH_WORDS.items() for x in pair])
+
+    def start(w: Column) -> Column:
+        low = F.lower(w)
+        known = F.coalesce(table[low], F.when(F.length(low) <= 2, low))
+        return F.coalesce(F.concat(F.lit("="), known), low)
+
+    marked = F.transform(words, start)
+    for step in ENGLISH_STEPS:
+        marked = _apply(marked, step)
+    return F.transform(marked, lambda w: F.lower(F.ltrim(w, F.lit("="))))
+
+
+STEMMERS = {"porter": _porter, "snowball": _snowball}
 
 
 def stem_array(words: Column | str, algorithm: str = "porter") -> Column:

@@ -246,5 +246,5 @@ def _(t):
 def _(t):
     spec = Experiment(label="cnt", keys=["hour_no"], numeric=["temp", "atemp", "hum", "windspeed"],
                       categorical=["weathersit"], features=rental_features(t), is_test=F.col("hour_no") >= 600,
-                      trees=("tree",), tree_options=SMALL)
-    return run_experiment(hourly(t), spec)
+                      linear=("ols", "lasso"), trees=("tree",), tree_options=SMALL)
+    return run_experiment(hourly(t), spec, rounds=(("drop", "corr"), ("impute", "lasso")))
