@@ -67,8 +67,9 @@ def collect_moments(df: DataFrame, features: list[str], label: str, fold: Column
             for f in np.unique(folds):
                 part = x[folds == f]
                 sums[int(f)] = sums.get(int(f), 0) + part.T @ part
-        yield pd.DataFrame({"fold": list(sums), "cells": [m.ravel() for m in sums.values()]},
-                           columns=["fold", "cells"]).astype({"fold": "int32"})
+        if sums:
+            yield pd.DataFrame({"fold": np.array(list(sums), "int32"),
+                                "cells": [m.ravel() for m in sums.values()]})
 
     cells = data.mapInPandas(products, "fold int, cells array<double>")
     sums = (cells.select("fold", F.posexplode("cells").alias("at", "cell"))

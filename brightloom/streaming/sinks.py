@@ -27,11 +27,15 @@ class Outcome:
 
 def safe_batch(fn: Batch, reraise: bool = True) -> tuple[Batch, Outcome]:
     """Log and count failing batches. They fail the query too unless `reraise` is
-    False, in which case the stream goes on with the next batch."""
+    False, in which case the stream goes on with the next batch; the batch is then
+    computed in full before `fn` sees it, so that its state is kept either way."""
     outcome = Outcome()
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
         outcome.batches += 1
+        if not reraise:
+            batch = batch.persist()
+            batch.count()
         try:
             fn(batch, batch_id)
         except Exception as error:
@@ -40,6 +44,9 @@ def safe_batch(fn: Batch, reraise: bool = True) -> tuple[Batch, Outcome]:
             log.exception("batch %s failed", batch_id)
             if reraise:
                 raise
+        finally:
+            if not reraise:
+                batch.unpersist()
 
     return guarded, outcome
 
