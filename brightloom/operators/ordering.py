@@ -8,6 +8,8 @@ gets the total of the slices before it, and the rest is local to the slice.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import durable
@@ -21,7 +23,7 @@ def prefix_sum(df: DataFrame, order: list[Column | str], out: str, weight: str |
     within a group for the result to be reproducible.
 
     The slice number is read from the physical partition, so the sliced rows
-    are checkpointed: a recomputed range partitioning could cut elsewhere.
+    are written out first: a recomputed range partitioning could cut elsewhere.
     """
     by = list(by)
     order = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -49,36 +51,72 @@ def number_rows(df: DataFrame, order: list[Column | str], out: str = "row_no",
     return prefix_sum(df, order, out, None, by, slices)
 
 
+RANK_ALL_VALUES = 5_000_000  # up to here one sort is cheaper than three passes
+SKETCH_ACCURACY = 2000  # rank error of the bracketing sketch is at most rows / accuracy
+
+
+def _long(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    long = df.unpivot(by, [F.col(c).cast("double").alias(c) for c in cols], "variable", "value") \
+        if by else _melt_all(df, cols)
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     by: list[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles, one row per (group, variable, prob).
 
-    Spark's ``percentile`` holds every distinct value of a group in one
-    buffer. Here equal values are counted first, the distinct values get
-    cumulative counts slice by slice, and only the values around the wanted
-    positions go on to the interpolation.
+    Spark's ``percentile`` holds every distinct value of a group in one buffer.
+    Here a sketch first gives, per quantile, two values that enclose it. A second
+    pass counts what lies below and keeps only what lies between, a fraction of a
+    percent of the rows, and the exact value is picked from those. If a sketch
+    should miss its bound, all values are ranked instead, as they are for tables
+    of a few million values.
     """
-    by = list(by)
-    long = df.unpivot(by, [F.col(c).cast("double").alias(c) for c in cols], "variable", "value") \
-        if by else _melt_all(df, cols)
-    long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    by, probs = list(by), [float(p) for p in probs]
     keys = [*by, "variable"]
-    freq = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
-    upto = prefix_sum(freq, ["value"], "_upto", "_n", keys)
-    totals = upto.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-
+    long = _long(df, cols, by)
+    if df.count() * len(cols) <= RANK_ALL_VALUES:
+        return _ranked_quantiles(long, keys, probs)
+    slack = 2.0 / SKETCH_ACCURACY
+    ends = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    sketch = long.groupBy(*keys).agg(
+        F.percentile_approx("value", ends, SKETCH_ACCURACY).alias("_ends"),
+        F.count(F.lit(1)).alias("_total"))
+    marked = attach(long, sketch, keys)
+    low = lambda i: F.get(F.col("_ends"), F.lit(i))
+    high = lambda i: F.get(F.col("_ends"), F.lit(i + len(probs)))
+    spot = lambda p: F.lit(p) * (F.col("_total") - 1)
+
+    below = marked.groupBy(*keys).agg(
+        F.first("_total").alias("_total"),
+        *[F.count_if(F.col("value") < low(i)).alias(f"_below{i}") for i in range(len(probs))],
+        *[F.count_if(F.col("value").between(low(i), high(i))).alias(f"_kept{i}") for i in range(len(probs))])
+    goals = below.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("at"), F.lit(p).alias("prob"), F.col(f"_below{i}").alias("below"),
+                 F.col(f"_kept{i}").alias("kept"), spot(p).alias("spot"))
+        for i, p in enumerate(probs)])).alias("_g")).select(*keys, "_g.*")
+    goals = durable(goals)
+    missed = (F.floor("spot") < F.col("below")) | (F.ceil("spot") >= F.col("below") + F.col("kept"))
+    if not goals.where(missed).isEmpty():
+        return _ranked_quantiles(long, keys, probs)
+
+    within = [F.col("value").between(low(i), high(i)) for i in range(len(probs))]
+    near = (marked.where(reduce(lambda a, b: a | b, within))
+            .select(*keys, "value", F.explode(F.array_compact(F.array(*[
+                F.when(w, F.lit(i)) for i, w in enumerate(within)]))).alias("at"))
+            .groupBy(*keys, "at", "value").agg(F.count(F.lit(1)).alias("_n")))
+    upto = prefix_sum(near, ["value"], "_upto", "_n", [*keys, "at"])
+    placed = attach(upto, goals, [*keys, "at"]).withColumn("_upto", F.col("_upto") + F.col("below"))
+    return _interpolate(placed, keys)
+
+
+def _interpolate(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys…, prob, spot, value, _n, _upto) to the value at `spot`."""
     def holds(position: Column) -> Column:
         return (position >= F.col("_upto") - F.col("_n")) & (position < F.col("_upto"))
 
-    spot = lambda p: p * (F.col("_total") - 1)
-    hits = (attach(upto, totals, keys)
-            .withColumn("_p", F.filter(wanted, lambda p: holds(F.floor(spot(p)))
-                                       | holds(F.ceil(spot(p)))))
-            .where(F.size("_p") > 0)
-            .withColumn("prob", F.explode("_p")))
-    here = spot(F.col("prob"))
-    ends = hits.groupBy(*keys, "prob").agg(
+    here = F.col("spot")
+    ends = placed.groupBy(*keys, "prob").agg(
         F.max(F.when(holds(F.floor(here)), F.col("value"))).alias("_low"),
         F.max(F.when(holds(F.ceil(here)), F.col("value"))).alias("_high"),
         F.max(here - F.floor(here)).alias("_part"))
@@ -87,6 +125,18 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                        .alias("value"))
 
 
+def _ranked_quantiles(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles from the cumulative counts of all distinct values."""
+    freq = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+    upto = prefix_sum(freq, ["value"], "_upto", "_n", keys)
+    totals = upto.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    wanted = F.array(*[F.lit(p) for p in probs])
+    placed = (attach(upto, totals, keys).withColumn("prob", F.explode(wanted))
+              .withColumn("spot", F.col("prob") * (F.col("_total") - 1)))
+    first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
+    return _interpolate(placed.where((F.ceil("spot") >= first) & (F.floor("spot") <= last)), keys)
+
+
 def _melt_all(df: DataFrame, cols: list[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value"))
                       for c in cols])

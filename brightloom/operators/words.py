@@ -66,9 +66,11 @@ def negation_scores(tokens: DataFrame, doc: str, negations: list[str] | None = N
     with every further token after (left) or before it (right), not below 0.
     Windows run inside one document, which came from one row."""
     flagged = tokens.withColumn("_at", F.when(is_negation(F.col("word"), negations), F.col("pos")))
-    order = Window.partitionBy(doc).orderBy("pos")
-    before = F.last("_at", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("_at", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    # two growing frames in opposite order: a shrinking frame costs the square of the length
+    growing = lambda at: (Window.partitionBy(doc).orderBy(at)
+                          .rowsBetween(Window.unboundedPreceding, 0))
+    before = F.last("_at", ignorenulls=True).over(growing(F.asc("pos")))
+    after = F.last("_at", ignorenulls=True).over(growing(F.desc("pos")))
     fade = lambda distance: F.greatest(F.lit(0.0), F.coalesce(1 - 0.1 * distance, F.lit(0.0)))
     return (flagged.withColumn("left", fade(F.col("pos") - before))
             .withColumn("right", fade(after - F.col("pos"))).drop("_at"))

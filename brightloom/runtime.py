@@ -57,9 +57,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and go on from the written rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write `df` as a table in the shared folder and go on from the written rows.
+    Unlike a checkpoint the table is columnar, and Spark knows its size."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Tables:

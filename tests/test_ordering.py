@@ -37,6 +37,24 @@ def test_quantiles_match_linear_interpolation(skewed):
         assert row["value"] == pytest.approx(np.quantile(same["v"], row["prob"]))
 
 
+def test_ranking_all_values_gives_the_same_quantiles(skewed, monkeypatch):
+    monkeypatch.setattr(O, "RANK_ALL_VALUES", 0)
+    keys, probs = ["k", "variable"], [0.01, 0.25, 0.5, 0.75]
+    ranked = O._ranked_quantiles(O._long(skewed, ["v"], ["k"]), keys, probs)
+    sketched = O.exact_quantiles(skewed, ["v"], probs, ["k"])
+    assert sorted(map(str, ranked.collect())) == sorted(map(str, sketched.collect()))
+
+
+def test_quantiles_of_many_rows_and_heavy_ties(spark, monkeypatch):
+    monkeypatch.setattr(O, "RANK_ALL_VALUES", 0)
+    rng = np.random.default_rng(1)
+    values = np.concatenate([rng.exponential(size=40_000), np.full(20_000, 0.5)])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
+    got = {r["prob"]: r["value"] for r in O.exact_quantiles(df, ["v"], [0.001, 0.25, 0.5, 0.9]).collect()}
+    for p, v in got.items():
+        assert v == pytest.approx(np.quantile(values, p), rel=1e-12)
+
+
 def test_quantiles_of_one_row_and_of_none(spark):
     one = spark.createDataFrame([(4.0,)], "v double")
     assert {r["value"] for r in O.exact_quantiles(one, ["v"], [0.25, 0.5]).collect()} == {4.0}
