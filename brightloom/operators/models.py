@@ -108,24 +108,31 @@ def _centred(table: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarr
     return n, sums / n, cross[:-1, :-1], cross[:-1, -1], cross[-1, -1]
 
 
-def _solve(table: np.ndarray, penalty: float, kind: str, start: np.ndarray | None = None) -> np.ndarray:
-    n, _, xx, xy, _ = _centred(table)
+def _solve(table: np.ndarray, penalty: float, kind: str) -> np.ndarray:
+    _, _, xx, xy, _ = _centred(table)
     if kind == "ols":
         return np.linalg.lstsq(xx, xy, rcond=None)[0]
     if kind == "ridge":
         return np.linalg.solve(xx + penalty * np.eye(len(xy)), xy)
-    beta = np.zeros(len(xy)) if start is None else start.copy()
-    scale, limit = np.diag(xx), penalty * n
-    for _ in range(1000):  # coordinate descent on (1/2n)|y - Xb|² + penalty |b|
-        moved = 0.0
-        for j in range(len(beta)):
-            if scale[j] <= 0:
-                continue
-            rho = xy[j] - xx[j] @ beta + scale[j] * beta[j]
-            new = np.sign(rho) * max(abs(rho) - limit, 0.0) / scale[j]
-            moved = max(moved, abs(new - beta[j]))
-            beta[j] = new
-        if moved <= 1e-7 * np.max(np.abs(beta), initial=0.0):
+    return _lasso([table], [penalty])[0, 0]
+
+
+def _lasso(tables: list[np.ndarray], penalties: list[float]) -> np.ndarray:
+    """Coordinate descent on (1/2n)|y - Xb|² + penalty |b| for all tables and
+    penalties side by side; coefficients by (table, penalty, feature)."""
+    parts = [_centred(t) for t in tables]
+    n = np.array([part[0] for part in parts])
+    xx, xy = np.stack([part[2] for part in parts]), np.stack([part[3] for part in parts])
+    limit = n[:, None] * np.array(penalties)[None, :]
+    beta = np.zeros((len(tables), len(penalties), xy.shape[1]))
+    for _ in range(1000):
+        before = beta.copy()
+        for j in range(beta.shape[2]):
+            scale = xx[:, j, j][:, None]
+            rho = xy[:, j][:, None] - (xx[:, None, j, :] * beta).sum(axis=2) + scale * beta[:, :, j]
+            shrunk = np.sign(rho) * np.maximum(np.abs(rho) - limit, 0.0)
+            beta[:, :, j] = np.where(scale > 0, shrunk / np.where(scale > 0, scale, 1.0), 0.0)
+        if np.abs(beta - before).max() <= 1e-7 * np.abs(beta).max(initial=0.0):
             break
     return beta
 
@@ -157,9 +164,9 @@ def _fit_cv(df: DataFrame, features: list[str], label: str, penalties: list[floa
     scores: dict[float, list[float]] = {p: [] for p in penalties}
     for fold, held_out in moments.tables.items():
         table = moments.total(without=fold)
-        beta = None
-        for p in sorted(penalties, reverse=True):
-            beta = _solve(table, p, kind, beta)
+        betas = (_lasso([table], penalties)[0] if kind == "lasso"
+                 else [_solve(table, p, kind) for p in penalties])
+        for p, beta in zip(penalties, betas):
             scores[p].append(_error(table, held_out, beta))
     means = {p: float(np.mean(s)) for p, s in scores.items()}
     best = min(penalties, key=lambda p: (means[p], -p))
