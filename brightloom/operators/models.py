@@ -67,13 +67,12 @@ def collect_moments(df: DataFrame, features: list[str], label: str, fold: Column
             for f in np.unique(folds):
                 part = x[folds == f]
                 sums[int(f)] = sums.get(int(f), 0) + part.T @ part
-        if sums:
-            yield pd.DataFrame({"fold": np.array(list(sums), "int32"),
-                                "cells": [m.ravel() for m in sums.values()]})
+        for f, m in sums.items():
+            yield pd.DataFrame({"fold": np.full(size * size, f, "int32"),
+                                "at": np.arange(size * size, dtype="int32"), "cell": m.ravel()})
 
-    cells = data.mapInPandas(products, "fold int, cells array<double>")
-    sums = (cells.select("fold", F.posexplode("cells").alias("at", "cell"))
-            .groupBy("fold", "at").agg(F.sum("cell").alias("cell")).collect())
+    cells = data.mapInPandas(products, "fold int, at int, cell double")
+    sums = cells.groupBy("fold", "at").agg(F.sum("cell").alias("cell")).collect()
     tables: dict[int, np.ndarray] = {}
     for row in sums:
         tables.setdefault(row["fold"], np.zeros(size * size))[row["at"]] = row["cell"]

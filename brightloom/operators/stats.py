@@ -130,10 +130,9 @@ def _pairs_by_products(df: DataFrame, cols: list[str]) -> DataFrame:
             square = x * x
             sums += np.stack([known.T @ known, x.T @ known, known.T @ x,
                               square.T @ known, known.T @ square, x.T @ x])
-        yield pd.DataFrame({"cells": [sums.ravel()]})
+        yield pd.DataFrame({"at": np.arange(sums.size, dtype="int32"), "cell": sums.ravel()})
 
-    cells = (data.mapInPandas(products, "cells array<double>")
-             .select(F.posexplode("cells").alias("at", "cell"))
+    cells = (data.mapInPandas(products, "at int, cell double")
              .groupBy("at").agg(F.sum("cell").alias("cell")))
     plane, pair = F.floor(F.col("at") / (size * size)), F.col("at") % (size * size)
     sums = cells.groupBy(pair.alias("pair")).agg(*[
