@@ -94,9 +94,9 @@ def _commonness(nodes: DataFrame):
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
 
     rows = (nodes.select("signature").mapInArrow(count, "slot long, n long")
-            .groupBy("slot").agg(F.sum("n").alias("n")).toPandas())
+            .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())
     table = np.zeros(1 << SLOT_BITS, np.float32)
-    table[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float32)
+    table[rows["slot"].to_numpy()] = rows["n"].to_numpy()
     return nodes.sparkSession.sparkContext.broadcast(table)
 
 

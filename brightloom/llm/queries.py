@@ -46,3 +46,23 @@ def _(read):
     from .near_dedup import near_duplicates
 
     return near_duplicates(read("documents"))
+
+
+@query("op3_substring_dedup", f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL.format(text="coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT doc_id, unnest(generate_series(1, len(w) - 34)) AS i, w FROM d WHERE len(w) >= 35),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM p),
+r AS (SELECT doc_id, i FROM h JOIN (SELECT h FROM h GROUP BY h HAVING count(*) > 1) USING (h)),
+c AS (SELECT DISTINCT doc_id, i + unnest(generate_series(0, 34)) AS i FROM r),
+t AS (SELECT doc_id, w[i] AS word, i FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM d)),
+k AS (SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) AS kept, count(*) AS n FROM t ANTI JOIN c ON c.doc_id = t.doc_id AND c.i = t.i GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+""")
+def _(read):
+    from .substring_dedup import text_keys, without_repeats
+
+    docs = read("documents")
+    done = without_repeats(docs).select("k1", "k2", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return (text_keys(docs.select("doc_id", "text")).select("doc_id", "k1", "k2").join(done, ["k1", "k2"])
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
