@@ -101,7 +101,7 @@ def fold_of(key: Column, folds: int = 5) -> Column:
 
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """Just the named columns, under new names; others, whatever their names, are left out."""
-    return df.select(*[df[old].alias(new) for new, old in columns.items()])
+    return df.select(*[df[old].alias(new) for old, new in columns.items()])
 
 
 def forget(df: DataFrame) -> None:
@@ -113,3 +113,43 @@ def forget(df: DataFrame) -> None:
         if base in folder and "/table-" in folder:
             path = spark._jvm.org.apache.hadoop.fs.Path(file)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def grouped_pass(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], dict | None], schema: str) -> DataFrame:
+    """``fn`` on each group of equal `keys`. The groups of a partition stream through one
+    Python worker after a sort, so small groups cost no call into Spark each. Groups must
+    be of bounded size; key columns must be longs or ints without nulls."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    target = to_arrow_schema(_parse_datatype_string(schema))
+
+    def bounds(table: pa.Table) -> np.ndarray:
+        changed = np.zeros(len(table), bool)
+        for k in keys:
+            v = table.column(k).to_numpy()
+            changed[1:] |= v[1:] != v[:-1]
+        return np.flatnonzero(changed)
+
+    def emit(table: pa.Table, ends: list[int]):
+        start = 0
+        for end in ends:
+            out = fn(table.slice(start, end - start))
+            start = end
+            if out is not None:
+                yield pa.RecordBatch.from_arrays([_typed(out[f.name], f.type) for f in target], schema=target)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            if not len(table):
+                continue
+            ends = bounds(table).tolist()
+            yield from emit(table, ends)
+            rest = table.slice(ends[-1]) if ends else table
+        if rest is not None and len(rest):
+            yield from emit(rest, [len(rest)])
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

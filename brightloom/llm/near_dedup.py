@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from brightloom.runtime import durable
 
-from .common import ODD, arrow_pass, as_long, forget, only, texts_of, window_hashes, word_hashes
+from .common import ODD, arrow_pass, as_long, forget, grouped_pass, only, texts_of, window_hashes, word_hashes
 from .components import components
 
 WIDTH = 5
-COORDINATES = 64
-#: Two sets with a similarity of 0.85 agree in fewer than 36 of 64 coordinates about once in 10 million pairs.
-LEAST_MATCHES = 36
+COORDINATES = 96
+#: Two sets with a similarity of 0.85 agree in fewer than 66 of 96 coordinates about once in 100,000 pairs.
+LEAST_MATCHES = 66
 #: Pairs that agree in LEAST_MATCHES coordinates share one of any so many, if both order their pairs alike.
 PREFIX = COORDINATES - LEAST_MATCHES + 1
 #: Slots of the table that estimates how common a coordinate-value pair is. Its size does not grow with the data.
 SLOT_BITS = 20
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
+#: Nodes of a list that are compared in one piece of work.
+BLOCK = 2048
 
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -142,10 +144,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the rows that carry it.
 
     Equal sets are one node from the start, so exact copies cost nothing. Nodes that
-    share a posted coordinate-value pair are candidates. A long posting list is not
-    expanded: each member meets the list's leader, in LEADER_ROUNDS rounds with other
-    leaders; then only nodes outside a list's largest class meet the other classes, so
-    that no link between classes is lost.
+    share a posted coordinate-value pair are candidates. A posting list is not expanded
+    to pairs: each member first meets the list's leader, the node with most company on
+    its lists, then one chosen by hash. After that only nodes outside a list's largest
+    class meet the other classes, first their closest partner and at last all that agree
+    in LEAST_MATCHES coordinates, so that no link between classes is lost.
 
     Null or wordless texts have the empty set, are linked with nothing and are their own
     component. A null id never names a component: a class of null ids alone gets a null
@@ -168,23 +171,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = durable(_known_sets(base, nodes, live))
     signatures = nodes.select("node", "signature")
 
-    links = None
-    labels = spark.createDataFrame([], "node long, root long")
-    for turn in range(LEADER_ROUNDS + 1):
-        tagged = (live.join(labels, "node", "left")
-                  .select("token", "node", "n", F.coalesce("root", "node").alias("root")))
+    sizes = live.groupBy("token").agg(F.count("*").alias("size"))
+    common = live.join(sizes, "token").groupBy("node").agg(F.sum("size").alias("common"))
+    links, labels = None, spark.createDataFrame([], "node long, root long")
+    for turn in range(LEADER_ROUNDS + 2):
         if turn < LEADER_ROUNDS:
-            leader = live.groupBy("token").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("other"))
-            pairs = tagged.join(leader, "token").where("node <> other").join(
-                labels.select(F.col("node").alias("other"), F.col("root").alias("other_root")), "other", "left"
-            ).where("root <> coalesce(other_root, other)").select("node", "other")
+            rank = F.col("common") if turn == 0 else F.xxhash64("node", F.lit(turn))
+            pairs = _to_leaders(live, labels, common, rank)
+            pairs = arrow_pass(pairs.join(signatures.toDF("a", "left"), "a").join(signatures.toDF("b", "right"), "b"),
+                               _matches, "a long, b long")
         else:
-            pairs = _across(tagged, percent)
-        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        candidates = arrow_pass(
-            pairs.join(signatures.toDF("a", "left"), "a").join(signatures.toDF("b", "right"), "b"),
-            _matches, "a long, b long")
-        found = durable(_confirmed(candidates, known, percent))
+            pairs = _across(live, labels, signatures, percent, best=turn == LEADER_ROUNDS).distinct()
+        found = durable(_confirmed(pairs, known, percent))
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = durable(components(links))
@@ -211,16 +209,60 @@ def _confirmed(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
             .where(F.expr(f"100L * both >= {percent}L * (sum - both)")).select("a", "b"))
 
 
-def _across(tagged: DataFrame, percent: int) -> DataFrame:
-    """Pairs on a common list from different classes. On each list the nodes outside its
-    largest class meet all nodes of other classes whose size allows the similarity."""
+def _rooted(live: DataFrame, labels: DataFrame) -> DataFrame:
+    return live.join(labels, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+
+
+def _to_leaders(live: DataFrame, labels: DataFrame, common: DataFrame, rank) -> DataFrame:
+    """Each node with the leader of each of its lists, if they are not yet connected."""
+    leader = live.join(common, "node").groupBy("token").agg(F.max_by("node", rank).alias("other"))
+    named = leader.join(labels.toDF("other", "other_root"), "other", "left").select(
+        "token", "other", F.coalesce("other_root", "other").alias("other_root"))
+    pairs = _rooted(live, labels).join(named, "token").where("root <> other_root")
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _across(live: DataFrame, labels: DataFrame, signatures: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs on a common list from different classes that agree in LEAST_MATCHES coordinates.
+
+    On each list the nodes outside its largest class meet all nodes of other classes. A
+    list is dealt in blocks of about BLOCK nodes, and each block meets all outsiders, so
+    a long list is spread over tasks. Only pairs that agree leave a task. With `best`
+    just the closest partner of each outsider in a block does."""
+    tagged = _rooted(live, labels)
     by_root = tagged.groupBy("token", "root").agg(F.count("*").alias("size"))
-    by_token = by_root.groupBy("token").agg(
-        F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    mixed = tagged.join(by_token.select("token", "main"), "token")
-    outside = mixed.where("root <> main").select(
-        "token", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("n").alias("other_n"))
-    return (outside.join(mixed, "token")
-            .where("root <> other_root and (root = main or node < other)")
-            .where(F.expr(f"100L * least(n, other_n) >= {percent}L * greatest(n, other_n)"))
-            .select("node", "other"))
+    mixed = by_root.groupBy("token").agg(
+        F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots"),
+        F.sum("size").alias("size")).where("roots > 1").withColumn("blocks", F.expr(f"int(ceil(size / {BLOCK}))"))
+    listed = tagged.join(mixed.select("token", "main", "blocks"), "token").join(signatures, "node")
+    inside = listed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("outside", F.lit(False))
+    outside = listed.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
+        "outside", F.lit(True))
+
+    def meet(group: pa.Table) -> dict | None:
+        out = group.column("outside").to_numpy()
+        if not out.any() or out.all():
+            return None
+        node, root, n = (group.column(c).to_numpy() for c in ("node", "root", "n"))
+        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        x, y = np.flatnonzero(out), np.flatnonzero(~out)
+        main = group.column("main").to_numpy()[0]
+        a, b = [], []
+        for i in x:
+            j = y[(root[y] != root[i]) & (100 * np.minimum(n[y], n[i]) >= percent * np.maximum(n[y], n[i]))
+                  & ((root[y] == main) | (node[i] < node[y]) | best)]
+            if not len(j):
+                continue
+            same = (sig[j] == sig[i]).sum(axis=1)
+            keep = j[same >= LEAST_MATCHES]
+            if best and len(keep):
+                keep = j[[same.argmax()]]
+            a.append(np.full(len(keep), node[i]))
+            b.append(node[keep])
+        if not a:
+            return None
+        a, b = np.concatenate(a), np.concatenate(b)
+        return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
+
+    wide = ["token", "block", "node", "root", "n", "main", "outside", "signature"]
+    return grouped_pass(inside.select(*wide).union(outside.select(*wide)), ["token", "block"], meet, "a long, b long")

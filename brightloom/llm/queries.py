@@ -66,3 +66,54 @@ def _(read):
     done = without_repeats(docs).select("k1", "k2", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
     return (text_keys(docs.select("doc_id", "text")).select("doc_id", "k1", "k2").join(done, ["k1", "k2"])
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
+@query("op1_best_fit_packing")
+def _(read):
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(read("documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_toxicity")
+def _(read):
+    from .common import fold_of
+    from .toxicity import fit_toxicity, score_toxicity
+
+    docs = read("documents")
+    scored = score_toxicity(docs, fit_toxicity(docs, read("labels")))
+    return scored.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
+#: Production settings of the mixture.
+MIX_ENTROPY, MIX_PASSES = 0.995, 2.0
+
+
+@query("op6_temperature_mixing", f"""
+WITH d AS (SELECT doc_id, source, coalesce(len({WORDS_SQL.format(text="text")}), 0)::BIGINT AS tokens FROM documents),
+t AS (SELECT source, sum(tokens)::BIGINT AS source_tokens, count(*) AS n FROM d GROUP BY source),
+w AS (SELECT sum(source_tokens)::DOUBLE AS all_of, max(source_tokens)::DOUBLE AS most, count(*) AS k FROM t WHERE source_tokens > 0),
+f AS (SELECT s / 10000.0 AS a, any_value(k) AS k, sum(pow(source_tokens / all_of, s / 10000.0)) AS z,
+        sum(pow(source_tokens / all_of, s / 10000.0) * ln(pow(source_tokens / all_of, s / 10000.0))) AS e, max(pow(most / source_tokens, 1 - s / 10000.0)) AS passes
+      FROM t, w, generate_series(0, 10000) g(s) WHERE source_tokens > 0 GROUP BY s),
+x AS (SELECT greatest(coalesce(max(a) FILTER ((ln(z) - e / z) / ln(k) >= {MIX_ENTROPY}), 0), coalesce(min(a) FILTER (passes <= {MIX_PASSES}), 1)) AS a FROM f),
+p AS (SELECT source, source_tokens, ceil(n / 4096.0)::BIGINT AS blocks, round(CASE WHEN source_tokens > 0 THEN pow(most / source_tokens, 1 - a) ELSE 1 END, 9) AS passes FROM t, w, x),
+b AS (SELECT d.*, ('0x' || substr(md5('mix|block|' || doc_id), 1, 13))::BIGINT % blocks AS block, source_tokens, passes FROM d JOIN p USING (source)),
+v AS (SELECT source, block, pass_no, block_tokens, source_tokens, passes, sum(block_tokens) OVER (PARTITION BY source, pass_no
+        ORDER BY substr(md5('mix|' || source || '|' || pass_no || '|' || block), 1, 13), block) - block_tokens AS bef
+      FROM (SELECT *, unnest(generate_series(0, greatest(ceil(passes) - 1, 0)::BIGINT)) AS pass_no
+            FROM (SELECT source, block, sum(tokens) AS block_tokens, any_value(source_tokens) AS source_tokens, any_value(passes) AS passes FROM b GROUP BY 1, 2))),
+r AS (SELECT source, block, pass_no, block_tokens, floor(least(1.0, passes - pass_no) * source_tokens) - bef AS room FROM v),
+o AS (SELECT b.doc_id, b.source, pass_no, block, b.tokens, block_tokens, room, sum(b.tokens) OVER (PARTITION BY source, block, pass_no
+        ORDER BY substr(md5('mix|' || pass_no || '|' || doc_id), 1, 13), b.tokens ROWS UNBOUNDED PRECEDING) AS upto
+      FROM b JOIN r USING (source, block) WHERE room > 0 OR (room = 0 AND block_tokens = 0))
+SELECT doc_id, source, pass_no::INTEGER AS pass_no, block::INTEGER AS block, tokens AS mix_tokens FROM o WHERE room >= block_tokens OR upto <= room
+""")
+def _(read):
+    from .mixing import count_words, mix
+
+    docs = read("documents").select("doc_id", "source", count_words(F.col("text")).alias("tokens"))
+    mixed = mix(docs, tokens=F.col("tokens"), target_entropy=MIX_ENTROPY, max_passes=MIX_PASSES)
+    return mixed.select("doc_id", "source", "pass_no", "block", "mix_tokens")

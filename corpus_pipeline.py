@@ -4,20 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from brightloom.llm.mixing import mix
 from brightloom.llm.near_dedup import near_duplicates
+from brightloom.llm.packing import pack_documents
+from brightloom.llm.substring_dedup import text_keys, without_repeats
+from brightloom.llm.toxicity import fit_toxicity, without_toxic
 from brightloom.runtime import scratch_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, fitted on the labelled ones, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return without_toxic(docs, fit_toxicity(docs, labels))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies; repeated rows once."""
+    """The document with the least id of each group of near copies. Of rows that repeat an
+    id one stays; rows without an id all do."""
     kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    alone = docs.where("doc_id is null")
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi").unionByName(alone)
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that also stand elsewhere. Texts that lose nothing
+    stay as they are; others keep their remaining words, joined by one space."""
+    cut = without_repeats(docs).where("n_removed > 0").select("k1", "k2", F.col("kept").alias("_kept"))
+    joined = text_keys(docs).join(cut, ["k1", "k2"], "left")
+    text = F.coalesce("_kept", "text")
+    changed = {"text": text, "n_chars": F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType)}
+    return joined.withColumns(changed).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of smaller sources repeated towards the target weights; each at least once."""
+    return mix(docs, target_entropy=0.995, max_passes=2.0).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces in training sequences of 2048 tokens."""
+    import public_tokenizers
+
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("minhash_near_dedup", one_of_each_group)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", one_of_each_group),
+    ("substring_dedup", cut_repeats),
+    ("mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 
-#: SQL cannot express the toxicity stage's fitted model, nor best-fit packing.
+#: SQL can express neither the fitted toxicity model nor best-fit packing.
 ORACLE_SQL = None
 
 
