@@ -9,16 +9,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_pass, fold_of, only
+from .common import arrow_pass, fold_of, only, texts_of, window_hashes, word_hashes
 
 #: Labelled rows of each class that the lexicon and the weights are fitted on, at most.
 SAMPLE = 4_000
 #: Prefixes that may become lexicon stems.
 SHORTEST, LONGEST = 4, 12
-#: Toxic sample rows a lexicon entry must occur in.
-SUPPORT = 3
+#: Toxic sample rows a lexicon entry must occur in, and must explain as a share of all of them.
+SUPPORT, SHARE = 3, 0.005
+#: Least log odds between toxic and clean rows of a lexicon entry.
+PURE = 2.5
 #: Evidence that is left of a hit for each edit, and inside quotation marks.
 PER_EDIT = 0.6
 QUOTED = 0.2
@@ -170,33 +173,55 @@ def _prefix_counts(batch: pa.RecordBatch) -> dict:
     return {"prefix": both, "toxic": [toxic[p] for p in both], "clean": [clean[p] for p in both]}
 
 
-def _choose(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> list[Entry]:
-    """The shortest prefixes that mark toxic rows only; one that is nearly always the same
-    word becomes that word, others stand for all words that begin with them."""
-    by = {p: (t, c) for p, t, c in counts}
-
-    def odds(t: int, c: int) -> float:
-        return math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
+def _odds(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
+    return math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
+
+
+def _held(candidates: dict[str, int]):
+    """Of each toxic row, the numbers of the candidates it has."""
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        out = []
+        for text in batch.column("text").to_pylist():
+            found = set()
+            for word in set(_TOKEN.findall((text or "").lower())):
+                found.add(candidates.get(word + " "))
+                found.update(candidates.get(word[:n]) for n in range(SHORTEST, min(len(word), LONGEST) + 1))
+            out.append(sorted(found - {None}))
+        return {"found": out}
+
+    return rows
+
+
+def _choose(rows: list[list[int]], names: list[str], odds: np.ndarray, enough: float) -> list[int]:
+    """Candidates that together explain the toxic rows, the one that explains most first;
+    longer and more telling ones win near ties. A row that a candidate explains counts a
+    quarter for the next. So words that merely come along in copies don't get in."""
+    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    what = np.array([c for r in rows for c in r], np.int64)
+    favour = (1 + 0.02 * np.array([len(n) for n in names])) * odds
+    weight = np.ones(len(rows))
+    chosen: list[int] = []
+    open_to = np.ones(len(names), bool)
+    while len(what):
+        gain = np.bincount(what, weight[of], minlength=len(names)) * open_to
+        gain[gain < enough] = 0
+        best = int((gain * favour).argmax())
+        if not gain[best]:
+            break
+        chosen.append(best)
+        weight[of[what == best]] *= 0.25
+        open_to &= ~np.array([n.startswith(names[best]) or names[best].startswith(n) for n in names])
+    return chosen
 
-    def pure(p: str) -> bool:
-        t, c = by.get(p, (0, 0))
-        return t >= SUPPORT and odds(t, c) > 1 and c / (n_clean + 1) <= 0.02 * t / (n_toxic + 1)
 
-    words: dict[str, list[tuple[int, str]]] = {}
-    for p, (t, _) in by.items():
-        if p[-1] == " " and t:
-            for n in range(SHORTEST, min(len(p) - 1, LONGEST) + 1):
-                words.setdefault(p[:n], []).append((t, p[:-1]))
-    entries = []
-    for p in sorted(by):
-        if p[-1] == " " or not pure(p) or (len(p) > SHORTEST and pure(p[:-1])):
-            continue
-        best, word = max(words.get(p, [(0, p)]))
-        t, c = by[p]
-        single = best >= 0.8 * t and pure(word + " ")
-        entries.append(Entry(word if single else p, not single, odds(t, c)))
-    short = [p[:-1] for p in sorted(by) if p[-1] == " " and len(p) <= SHORTEST and pure(p)]
-    return entries + [Entry(w, False, odds(*by[w + " "])) for w in short]
+def _family(batch: pa.RecordBatch) -> dict:
+    """A value that near copies mostly share: the least hash of their three-word runs."""
+    out = []
+    for text in texts_of(batch):
+        h = window_hashes(word_hashes(text.lower().split()), 3)
+        out.append(int(h.min().view(np.int64)) if len(h) else xxhash.xxh3_64_intdigest(text) >> 1)
+    return {"text": batch.column("text"), "label": batch.column("label"), "family": out}
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
@@ -217,8 +242,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """Lexicon and weights from labelled rows whose id's crc32 modulo 5 is not 0.
 
-    At most `sample` rows of each class are used, those with the least id hashes; the
-    classes are weighted back to their shares of all labelled rows. Null labels and ids
+    At most `sample` rows of each class are used, those with the least id hashes, one of
+    each family of near copies; the classes are weighted back to their shares of all labelled rows. Null labels and ids
     are left out. Without a labelled toxic row the lexicon is empty and every score is low."""
     marks = only(labels, **{id_col: "doc_id", label_col: "label"}).where(
         F.col("doc_id").isNotNull() & F.col("label").isNotNull() & (fold_of(F.col("doc_id")) != 0))
@@ -229,11 +254,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                 .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
         chosen = part if chosen is None else chosen.union(part)
     rows = only(docs, **{id_col: "doc_id", text_col: "text"}).join(F.broadcast(chosen), "doc_id").select("text", "label")
-    rows = rows.cache()
+    rows = (arrow_pass(rows, _family, "text string, label int, family long")
+            .dropDuplicates(["family", "label"]).select("text", "label").cache())
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     counts = (arrow_pass(rows, _prefix_counts, "prefix string, toxic long, clean long").groupBy("prefix")
               .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic >= {SUPPORT}").collect())
-    entries = tuple(_choose([tuple(r) for r in counts], n.get(1, 0), n.get(0, 0)))
+    odds = {r["prefix"]: _odds(r["toxic"], r["clean"], n.get(1, 0), n.get(0, 0)) for r in counts}
+    pure = sorted(p for p, o in odds.items() if o > PURE)
+    held = [r["found"] for r in arrow_pass(rows.where("label = 1"), _held({p: i for i, p in enumerate(pure)}), "found array<int>").collect()]
+    entries = tuple(Entry(pure[i].rstrip(), pure[i][-1] != " ", odds[pure[i]])
+                    for i in _choose(held, pure, np.array([odds[p] for p in pure]), max(SUPPORT, SHARE * n.get(1, 0))))
     x = _featured(rows, entries, {"label": "int"}).select("own", "quoted", "label").collect()
     rows.unpersist()
     if not n.get(1) or not n.get(0):
