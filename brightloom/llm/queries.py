@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .license_scan import licenses_sql
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -117,3 +119,47 @@ def _(read):
     docs = read("documents").select("doc_id", "source", count_words(F.col("text")).alias("tokens"))
     mixed = mix(docs, tokens=F.col("tokens"), target_entropy=MIX_ENTROPY, max_passes=MIX_PASSES)
     return mixed.select("doc_id", "source", "pass_no", "block", "mix_tokens")
+
+
+@query("op10_quality_rules")
+def _(read):
+    from .quality_rules import fit_field, judge_quality
+
+    docs = read("documents")
+    return judge_quality(docs, fit_field(docs, read("labels")))
+
+
+@query("op7_exact_top_k", """
+WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def _(read):
+    from .exact_search import top_k
+
+    return top_k(read("embeddings"))
+
+
+@query("op8_context_tree_scoring")
+def _(read):
+    from .language_model import fit_language_model, score_texts
+
+    docs = read("documents")
+    return score_texts(docs, fit_language_model(docs))
+
+
+@query("op4_license_scan", licenses_sql())
+def _(read):
+    from .license_scan import scan_licenses
+
+    found = scan_licenses(read("documents"))
+    return found.select("doc_id", "whole_license", "n_notices", F.array_join("licenses", ",").alias("licenses"))
+
+
+@query("op2_quality_classifier")
+def _(read):
+    from .quality_classifier import classify_quality
+
+    return classify_quality(read("documents"), read("labels"), site_cols=("source", "lang"))
