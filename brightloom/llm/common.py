@@ -13,7 +13,7 @@ from brightloom.runtime import shared_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hashed words a worker remembers; beyond it words are hashed anew each time.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -23,6 +23,8 @@ SLOT_BITS = 20
 LEADER_ROUNDS = 2
 #: Nodes of a list that are compared in one piece of work.
 BLOCK = 2048
+#: Sets of connected candidates that are compared in one piece of work, about half.
+CELL = 256
 
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -119,19 +121,28 @@ def postings(nodes: DataFrame) -> DataFrame:
     return arrow_pass(nodes.select("node", "n", "signature"), post, "token long, node long, n int")
 
 
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+
+
 def _matches(batch: pa.RecordBatch) -> dict | None:
-    """Of pairs with both signatures, those that agree in LEAST_MATCHES coordinates."""
+    """Of pairs with both sketches, those that agree in LEAST_MATCHES coordinates."""
     if not batch.num_rows:
         return None
-    left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-                   for c in ("left", "right"))
+    left, right = (_sketches(batch.column(c)) for c in ("left", "right"))
     keep = np.flatnonzero((left == right).sum(axis=1) >= LEAST_MATCHES)
     return {c: batch.column(c).take(pa.array(keep)) for c in ("a", "b")}
 
 
+def _sketch(batch: pa.RecordBatch) -> dict:
+    """The low byte of each coordinate. Sets that agree in a coordinate agree in its byte."""
+    low = [np.frombuffer(x, np.uint32).astype(np.uint8).tobytes() for x in batch.column("signature").to_pylist()]
+    return {"node": batch.column("node"), "sketch": low}
+
+
 def _sets(batch: pa.RecordBatch) -> dict:
     sets = [shingle_set(t) for t in texts_of(batch)]
-    return {"node": batch.column("node"), "shingles": [s.view(np.int64) for s in sets]}
+    return {"node": batch.column("node"), "shingles": [np.sort(s.view(np.int64)) for s in sets]}
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -169,23 +180,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     live = durable(posts.join(lists.select("token"), "token"))
     forget(posts)
     known = durable(_known_sets(base, nodes, live))
-    signatures = nodes.select("node", "signature")
+    sketches = durable(arrow_pass(nodes.select("node", "signature"), _sketch, "node long, sketch binary"))
 
     sizes = live.groupBy("token").agg(F.count("*").alias("size"))
     common = live.join(sizes, "token").groupBy("node").agg(F.sum("size").alias("common"))
     links, labels = None, spark.createDataFrame([], "node long, root long")
-    for turn in range(LEADER_ROUNDS + 2):
-        if turn < LEADER_ROUNDS:
+    turn, step = 0, "leader"
+    while step != "done":
+        if step == "leader":
             rank = F.col("common") if turn == 0 else F.xxhash64("node", F.lit(turn))
             pairs = _to_leaders(live, labels, common, rank)
-            pairs = arrow_pass(pairs.join(signatures.toDF("a", "left"), "a").join(signatures.toDF("b", "right"), "b"),
+            pairs = arrow_pass(pairs.join(sketches.toDF("a", "left"), "a").join(sketches.toDF("b", "right"), "b"),
                                _matches, "a long, b long")
         else:
-            pairs = _across(live, labels, signatures, percent, best=turn == LEADER_ROUNDS).distinct()
-        found = durable(_confirmed(pairs, known, percent))
-        if not found.isEmpty():
+            pairs = _across(live, labels, sketches, percent, best=step == "best").distinct()
+        found = durable(_confirmed(durable(pairs), known, percent))
+        news = not found.isEmpty()
+        if news:
             links = found if links is None else links.union(found)
             labels = durable(components(links))
+        turn += 1
+        if step == "all":
+            step = "done"
+        elif turn >= LEADER_ROUNDS:
+            step = "best" if step == "leader" or news else "all"
     classes = (nodes.join(labels, "node", "left").select("set_id", "least", F.coalesce("root", "node").alias("root")))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     by_set = classes.join(names, "root").select("set_id", "component_id")
@@ -203,10 +221,40 @@ def _known_sets(base: DataFrame, nodes: DataFrame, live: DataFrame) -> DataFrame
 
 
 def _confirmed(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(known.toDF("a", "sa"), "a").join(known.toDF("b", "sb"), "b")
-            .select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum"))
-            .where(F.expr(f"100L * both >= {percent}L * (sum - both)")).select("a", "b"))
+    """The pairs whose whole sets reach the similarity.
+
+    Pairs that hang together are checked in one place, so a set travels once and not with
+    each of its pairs. Where many hang together they are dealt to cells: the nodes to
+    buckets of about CELL, the pairs to pairs of buckets."""
+    families = components(pairs)
+    sizes = families.groupBy("root").agg(F.expr(f"int(ceil(count(*) / {CELL}))").alias("buckets"))
+    placed = durable(families.join(sizes, "root").select("node", "root", F.pmod(F.xxhash64("node"), "buckets").cast("int").alias("bucket")))
+    celled = pairs.join(placed.toDF("a", "root", "x"), "a").join(placed.drop("root").toDF("b", "y"), "b").select(
+        "root", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "a", "b")
+    ends = celled.select("root", "x", "y", F.explode(F.array("a", "b")).alias("node")).distinct().join(known, "node")
+    none = F.lit(None)
+    rows = ends.select("root", "x", "y", F.col("node").alias("a"), none.cast("long").alias("b"), "shingles").unionByName(
+        celled.select("root", "x", "y", "a", "b", none.cast("array<long>").alias("shingles")))
+
+    def check(group: pa.Table) -> dict | None:
+        sets, ask = {}, []
+        for a, b, s in zip(group.column("a").to_pylist(), group.column("b").to_pylist(), group.column("shingles"), strict=True):
+            if b is None:
+                sets[a] = s.values.to_numpy()
+            else:
+                ask.append((a, b))
+        good = []
+        for a, b in ask:
+            x, y = sorted((sets[a], sets[b]), key=len)
+            if 100 * len(x) < percent * len(y):
+                continue
+            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            both = int((y[at] == x).sum())
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                good.append((a, b))
+        return {"a": [a for a, _ in good], "b": [b for _, b in good]} if good else None
+
+    return grouped_pass(rows, ["root", "x", "y"], check, "a long, b long")
 
 
 def _rooted(live: DataFrame, labels: DataFrame) -> DataFrame:
@@ -222,7 +270,7 @@ def _to_leaders(live: DataFrame, labels: DataFrame, common: DataFrame, rank) ->
     return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _across(live: DataFrame, labels: DataFrame, signatures: DataFrame, percent: int, best: bool) -> DataFrame:
+def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs on a common list from different classes that agree in LEAST_MATCHES coordinates.
 
     On each list the nodes outside its largest class meet all nodes of other classes. A
@@ -234,7 +282,7 @@ def _across(live: DataFrame, labels: DataFrame, signatures: DataFrame, percent:
     mixed = by_root.groupBy("token").agg(
         F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots"),
         F.sum("size").alias("size")).where("roots > 1").withColumn("blocks", F.expr(f"int(ceil(size / {BLOCK}))"))
-    listed = tagged.join(mixed.select("token", "main", "blocks"), "token").join(signatures, "node")
+    listed = tagged.join(mixed.select("token", "main", "blocks"), "token").join(sketches, "node")
     inside = listed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("outside", F.lit(False))
     outside = listed.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
         "outside", F.lit(True))
@@ -244,7 +292,7 @@ def _across(live: DataFrame, labels: DataFrame, signatures: DataFrame, percent:
         if not out.any() or out.all():
             return None
         node, root, n = (group.column(c).to_numpy() for c in ("node", "root", "n"))
-        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        sig = _sketches(group.column("sketch"))
         x, y = np.flatnonzero(out), np.flatnonzero(~out)
         main = group.column("main").to_numpy()[0]
         a, b = [], []
@@ -264,5 +312,5 @@ def _across(live: DataFrame, labels: DataFrame, signatures: DataFrame, percent:
         a, b = np.concatenate(a), np.concatenate(b)
         return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
 
-    wide = ["token", "block", "node", "root", "n", "main", "outside", "signature"]
+    wide = ["token", "block", "node", "root", "n", "main", "outside", "sketch"]
     return grouped_pass(inside.select(*wide).union(outside.select(*wide)), ["token", "block"], meet, "a long, b long")
