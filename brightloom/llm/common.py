@@ -14,6 +14,8 @@ from brightloom.runtime import shared_folder
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hashed words a worker remembers; beyond it words are hashed anew each time.
 REMEMBERED = 300_000
+#: Rows that are worked on at once, whatever the size of Arrow batches.
+ROWS = 1_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,11 +72,11 @@ def arrow_pass(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schem
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if out is not None:
-                yield pa.RecordBatch.from_arrays(
-                    [_typed(out[f.name], f.type) for f in target], schema=target)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                out = fn(whole.slice(at, ROWS))
+                if out is not None:
+                    yield pa.RecordBatch.from_arrays([_typed(out[f.name], f.type) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)
 

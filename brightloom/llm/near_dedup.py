@@ -194,7 +194,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                _matches, "a long, b long")
         else:
             pairs = _across(live, labels, sketches, percent, best=step == "best").distinct()
-        found = durable(_confirmed(durable(pairs), known, percent))
+        pairs = durable(pairs)
+        found = durable(_confirmed(pairs, known, percent))
         news = not found.isEmpty()
         if news:
             links = found if links is None else links.union(found)
@@ -204,6 +205,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             step = "done"
         elif turn >= LEADER_ROUNDS:
             step = "best" if step == "leader" or news else "all"
+        forget(pairs)
+    for used in (known, live, sketches):
+        forget(used)
     classes = (nodes.join(labels, "node", "left").select("set_id", "least", F.coalesce("root", "node").alias("root")))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     by_set = classes.join(names, "root").select("set_id", "component_id")
@@ -275,14 +279,14 @@ def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: in
 
     On each list the nodes outside its largest class meet all nodes of other classes. A
     list is dealt in blocks of about BLOCK nodes, and each block meets all outsiders, so
-    a long list is spread over tasks. Only pairs that agree leave a task. With `best`
-    just the closest partner of each outsider in a block does."""
+    a long list is spread over tasks. Only pairs that agree leave a task, each from the
+    least token they share. With `best` just the closest of these partners does."""
     tagged = _rooted(live, labels)
     by_root = tagged.groupBy("token", "root").agg(F.count("*").alias("size"))
     mixed = by_root.groupBy("token").agg(
         F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots"),
         F.sum("size").alias("size")).where("roots > 1").withColumn("blocks", F.expr(f"int(ceil(size / {BLOCK}))"))
-    listed = tagged.join(mixed.select("token", "main", "blocks"), "token").join(sketches, "node")
+    listed = tagged.join(mixed.select("token", "main", "blocks"), "token").join(sketches, "node").join(live.groupBy("node").agg(F.collect_list("token").alias("tokens")), "node")
     inside = listed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("outside", F.lit(False))
     outside = listed.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
         "outside", F.lit(True))
@@ -294,7 +298,14 @@ def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: in
         node, root, n = (group.column(c).to_numpy() for c in ("node", "root", "n"))
         sig = _sketches(group.column("sketch"))
         x, y = np.flatnonzero(out), np.flatnonzero(~out)
-        main = group.column("main").to_numpy()[0]
+        main, token = group.column("main").to_numpy()[0], group.column("token").to_numpy()[0]
+        tokens = [None] * len(node)
+
+        def shared(i):
+            if tokens[i] is None:
+                tokens[i] = set(group.column("tokens")[i].values.to_numpy().tolist())
+            return tokens[i]
+
         a, b = [], []
         for i in x:
             j = y[(root[y] != root[i]) & (100 * np.minimum(n[y], n[i]) >= percent * np.maximum(n[y], n[i]))
@@ -302,9 +313,9 @@ def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: in
             if not len(j):
                 continue
             same = (sig[j] == sig[i]).sum(axis=1)
-            keep = j[same >= LEAST_MATCHES]
-            if best and len(keep):
-                keep = j[[same.argmax()]]
+            agree = np.flatnonzero(same >= LEAST_MATCHES)
+            agree = agree[[min(shared(i) & shared(x)) == token for x in j[agree]]] if len(agree) else agree
+            keep = j[agree[[same[agree].argmax()]]] if best and len(agree) else j[agree]
             a.append(np.full(len(keep), node[i]))
             b.append(node[keep])
         if not a:
@@ -312,5 +323,5 @@ def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: in
         a, b = np.concatenate(a), np.concatenate(b)
         return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
 
-    wide = ["token", "block", "node", "root", "n", "main", "outside", "sketch"]
+    wide = ["token", "block", "node", "root", "n", "main", "outside", "sketch", "tokens"]
     return grouped_pass(inside.select(*wide).union(outside.select(*wide)), ["token", "block"], meet, "a long, b long")

@@ -16,7 +16,7 @@ from .common import arrow_pass, only, texts_of
 CAPACITY = 2048
 END = 0
 #: Words whose ids a worker remembers; a full memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Words the tokenizer is given at once.
 CHUNK = 2_000
 #: Groups that the pieces of one length are numbered in.

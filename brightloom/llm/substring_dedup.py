@@ -147,6 +147,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
               .select("k1", "k2", "first", "more", (F.col("n") > 1).alias("whole"),
                       ((F.col("kinds") > 1) & ((F.col("n") == 1) | (F.col("pick") == F.xxhash64("k1", "k2", "first")))).alias("extend")))
     judged = durable(judged.distinct())
+    forget(places)
     texts = base.groupBy("k1", "k2").agg(F.first("text").alias("text"))
     todo = judged.where("extend").groupBy("k1", "k2").agg(
         F.collect_list(F.struct("first", "more", (~F.col("whole")).alias("ask"))).alias("todo"))
@@ -154,7 +155,8 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
                                  "k1 long, k2 long, v1 long, v2 long, first int, ask boolean"))
     twice = windows.groupBy("v1", "v2").agg(
         F.sum(F.when(F.col("ask"), 1).otherwise(2)).alias("n")).where("n > 1").select("v1", "v2")
-    extended = windows.where("ask").join(twice, ["v1", "v2"]).select("k1", "k2", "first", F.lit(0).alias("more"))
+    extended = durable(windows.where("ask").join(twice, ["v1", "v2"]).select("k1", "k2", "first", F.lit(0).alias("more")))
+    forget(windows)
     confirmed = (judged.where("whole").select("k1", "k2", "first", "more").union(extended)
                  .groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "more")).alias("found")))
     return arrow_pass(

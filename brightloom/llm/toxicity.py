@@ -27,7 +27,7 @@ PER_EDIT = 0.6
 QUOTED = 0.2
 #: Characters around a hit that are searched for quotation marks.
 WINDOW = 60
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 _TOKEN = re.compile(r"\w+")
 _OPENING, _CLOSING = "\"“„«‹”", "\"”“»›"
 
