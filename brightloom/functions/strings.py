@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Unicode-aware non-word run. Java's \W is ASCII only, the reference's is not.
+# Unicode-aware non-word run. Java's \W is ASCII only, this one is not.
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 

@@ -14,13 +14,6 @@ ENGLISH_STOP_WORDS = (
     "needn't shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't"
 ).split()
 
-# Words of review texts that say nothing about their topic.
-REVIEW_STOP_WORDS = (
-    "n't 's 'm ca ' 're i've poor - worst place make thing hour low high bos good great awesome "
-    "excellent job best lot wonderful awful work amazing suck nice really free like love bad terrible "
-    "care horrible company employee staff time day week month year need better just decent"
-).split()
-
 # Whole words that negate, and the ending that negates wherever it occurs.
 NEGATION_WORDS = (
     "never no nothing nowhere noone none not havent hasnt hadnt cant couldnt shouldnt wont wouldnt "

@@ -11,9 +11,6 @@ from .ordering import quantiles_wide
 from .relations import flag_interval
 from .stats import corr_matrix
 
-CATEGORY_LIMIT = 1000
-
-
 def _fit_rows(df: DataFrame, fit_on: Column | None) -> DataFrame:
     return df if fit_on is None else df.where(fit_on)
 
@@ -43,12 +40,8 @@ def impute_mode(df: DataFrame, column: str, fit_on: Column | None = None) -> Dat
 
 
 def categories(df: DataFrame, column: str) -> list:
-    """Sorted distinct values; refuses columns with too many to become columns."""
-    rows = (df.where(F.col(column).isNotNull()).select(column).distinct()
-            .limit(CATEGORY_LIMIT + 1).collect())
-    if len(rows) > CATEGORY_LIMIT:
-        raise ValueError(f"{column} has more than {CATEGORY_LIMIT} values; pass the ones to encode")
-    return sorted(r[0] for r in rows)
+    """Sorted distinct values, all of them: each becomes a column."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def one_hot(df: DataFrame, column: str, values: list | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.values import within_interval
 from ..runtime import durable
@@ -68,18 +68,12 @@ def flag_interval(facts: DataFrame, bounds: DataFrame, fact_key: str, bound_key:
     return joined.withColumn(out, within_interval(value, low, high))
 
 
-def word_table(df: DataFrame, words: list[str], name: str = "word") -> DataFrame:
-    """A literal word list as a one-column table."""
-    schema = T.StructType([T.StructField(name, T.StringType())])
-    return df.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(words)], schema)
-
-
 def remove_listed(tokens: DataFrame, stop: list[str] | DataFrame, column: str = "word") -> DataFrame:
-    """Anti-join against a word list."""
-    listed = word_table(tokens, stop, column) if isinstance(stop, list) else \
-        stop.select(F.col(stop.columns[0]).alias(column))
-    return salted_join(tokens, listed, [column], "left_anti") if isinstance(stop, DataFrame) \
-        else tokens.join(listed, column, "left_anti")
+    """Tokens that a word list lacks; nulls stay. A list is a filter where the tokens
+    are, a table an anti-join with hot words spread."""
+    if isinstance(stop, DataFrame):
+        return salted_join(tokens, stop.select(F.col(stop.columns[0]).alias(column)), [column], "left_anti")
+    return tokens.where(~F.coalesce(F.col(column).isin(list(stop)), F.lit(False)))
 
 
 def match_terms(postings: DataFrame, terms: list[str] | DataFrame, column: str = "term") -> DataFrame:

@@ -43,23 +43,15 @@ def range_filter(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
     return df
 
 
-IN_LIST_LIMIT = 200
-
-
 def isin_filter(df: DataFrame, column: str, values: list | DataFrame, everything="ALL") -> DataFrame:
-    """Membership; the `everything` marker switches the filter off. Long lists and
-    DataFrames (values in their first column) become a semi-join."""
+    """Membership; the `everything` marker switches the filter off. A list is a filter of
+    the scan, a DataFrame (values in its first column) a semi-join."""
     if isinstance(values, DataFrame):
         allowed = values.select(F.col(values.columns[0]).alias("_allowed"))
         return df.join(allowed, F.col(column) == F.col("_allowed"), "left_semi")
     if everything in values:
         return df
-    if len(values) <= IN_LIST_LIMIT:
-        return df.where(F.col(column).isin(list(values)))
-    kind = df.schema[column].dataType
-    listed = df.sparkSession.createDataFrame(
-        [(v,) for v in values], T.StructType([T.StructField("value", kind)]))
-    return isin_filter(df, column, listed, everything)
+    return df.where(F.col(column).isin(list(values)))
 
 
 def facet_values(df: DataFrame, child: str, parents: dict) -> DataFrame:

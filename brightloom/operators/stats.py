@@ -95,28 +95,11 @@ def dtypes(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
 
 
-PAIRS_AS_EXPRESSIONS = 30
-
-
-def pearson(a: Column, b: Column) -> Column:
-    """Correlation over rows where both are present; null where one is constant
-    (the built-in divides by zero there)."""
-    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(x) * F.var_pop(y)))
-
-
-def _pairs_by_expression(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    wide = df.agg(*[pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)])).alias("p")).select("p.*")
-
-
 def _pairs_by_products(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Many columns: every task multiplies its batches as matrices and sends one
-    column-by-column table of sums; values are shifted by the means for accuracy."""
-    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    """Every task multiplies its batches as matrices and sends one column-by-column table
+    of sums; values are shifted by the means for accuracy. NaN counts as missing."""
+    double = [F.col(c).cast("double") for c in cols]
+    data = df.select(*[F.when(~F.isnan(c), c).alias(f"c{i}") for i, c in enumerate(double)])
     means = data.agg(*[F.avg(c) for c in data.columns]).first()
     shift = np.array([m if m is not None else 0.0 for m in means])
     names, size = data.columns, len(cols)
@@ -150,11 +133,9 @@ def _pairs_by_products(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def corr_matrix(df: DataFrame, cols: list[str], triangle: str = "full") -> DataFrame:
     """Pearson correlations over pairwise complete rows as (a, b, r). `triangle` is
-    full, lower or upper (both without the diagonal). Every pair is computed once,
-    all in one pass: as expressions for few columns, as matrix products for many."""
-    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    upper = (_pairs_by_expression(df, pairs) if len(pairs) <= PAIRS_AS_EXPRESSIONS
-             else _pairs_by_products(df, cols))
+    full, lower or upper (both without the diagonal). Every pair is computed once, all
+    in one pass of matrix products; nulls and NaN are missing, at any width."""
+    upper = _pairs_by_products(df, cols)
     if triangle == "upper":
         return upper
     if triangle == "lower":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.strings import has_hash, split_single_space
@@ -36,13 +38,24 @@ def windowed_counts(tokens: DataFrame, ts: str, size: str, slide: str | None = N
     return (tokens.groupBy(w.alias("window"), key).agg(F.count(F.lit(1)).alias(out)))
 
 
+_UNITS = {"millisecond": 1, "second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000, "week": 604_800_000}
+
+
+def _milliseconds(duration: str) -> int:
+    """Length of a duration such as ``10 minutes`` or ``1 hour 30 minutes``."""
+    parts = duration.lower().removeprefix("interval ").split()
+    return sum(int(n) * _UNITS[unit.rstrip("s")] for n, unit in zip(parts[::2], parts[1::2], strict=True))
+
+
 def pane_counts(tokens: DataFrame, ts: str, size: str, slide: str, key: str = "word",
                 out: str = "n") -> DataFrame:
-    """Sliding counts by way of panes: count once per slide-long pane, then add panes
-    to their windows. The direct form copies every row into size / slide windows
-    before it aggregates; here only the counts per (pane, key) are copied. As a
+    """Sliding counts by way of panes: count once per pane, then add panes to their
+    windows. A pane is as long as the greatest common divisor of size and slide, so every
+    window is made of whole panes. The direct form copies every row into size / slide
+    windows before it aggregates; here only the counts per (pane, key) are copied. As a
     stream this chains two aggregations, so it needs a watermark and append mode."""
-    panes = windowed_counts(tokens, ts, slide, None, key, "_pane")
+    pane = math.gcd(_milliseconds(size), _milliseconds(slide))
+    panes = windowed_counts(tokens, ts, f"{pane} milliseconds", None, key, "_pane")
     whole = F.window(F.window_time("window"), size, slide)
     return (panes.groupBy(whole.alias("window"), key).agg(F.sum("_pane").alias(out)))
 

@@ -184,7 +184,7 @@ def _(t):
 
 
 REVIEWS = """SELECT conv_id, arg_min(text, turn) FILTER (role = 'user') AS pros, arg_min(text, turn) FILTER (role = 'assistant') AS cons,
-                    substr(arg_min(text, turn), 1, 40) AS title FROM conversations GROUP BY conv_id"""
+                    arg_min(text, turn) AS title FROM conversations GROUP BY conv_id"""
 STARS = """CASE WHEN score <= 0 THEN 1 WHEN score <= 0.3 THEN 2 WHEN score <= 0.6 THEN 3 WHEN score <= 0.9 THEN 4 ELSE 5 END"""
 SCORED_REVIEWS = f"""
     SELECT conv_id, score, {STARS} AS stars FROM (SELECT conv_id, round((polarity_title + polarity_pros + polarity_cons)
@@ -193,12 +193,12 @@ SCORED_REVIEWS = f"""
 
 
 def reviews(t):
-    """First user turn as pros, first assistant turn as cons, a short title."""
+    """First user turn as pros, first assistant turn as cons, the first turn as title."""
     pick = lambda role: F.min_by(F.when(F.col("role") == role, F.col("text")),
                                  F.when(F.col("role") == role, F.col("turn")))
     return t.conversations.groupBy("conv_id").agg(
         pick("user").alias("pros"), pick("assistant").alias("cons"),
-        F.substring(F.min_by("text", "turn"), 1, 40).alias("title"))
+        F.min_by("text", "turn").alias("title"))
 
 
 @entry("t10_review_scores", f"""

@@ -108,3 +108,11 @@ def test_processing_time_trigger(spark, lines, tmp_path):
 def test_source_kinds(spark):
     with pytest.raises(ValueError):
         read_lines_stream(spark, "carrier pigeon")
+
+
+def test_panes_equal_direct_windows_when_the_slide_does_not_divide_the_size(spark):
+    start = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(start + dt.timedelta(seconds=5 * i), "w") for i in range(25)], "ts timestamp, word string")
+    direct = C.windowed_counts(df, "ts", "50 seconds", "30 seconds")
+    panes = C.pane_counts(df, "ts", "50 seconds", "30 seconds")
+    assert sorted(map(str, C.window_bounds(direct).collect())) == sorted(map(str, C.window_bounds(panes).collect()))
