@@ -21,10 +21,12 @@ SHORTEST, LONGEST = 4, 12
 #: Toxic sample rows a lexicon entry must occur in, and must explain as a share of all of them.
 SUPPORT, SHARE = 3, 0.005
 #: Least log odds between toxic and clean rows of a lexicon entry.
-PURE = 2.5
+PURE = 4.5
 #: Evidence that is left of a hit for each edit, and inside quotation marks.
 PER_EDIT = 0.6
 QUOTED = 0.2
+#: Evidence beyond which a text is as toxic as can be.
+MOST = 10.0
 #: Characters around a hit that are searched for quotation marks.
 WINDOW = 60
 REMEMBERED = 200_000
@@ -135,7 +137,7 @@ class Lexicon:
                     own, quoted = own + QUOTED * worth, quoted + worth
                 else:
                     own += worth
-        return math.log1p(own), math.log1p(quoted)
+        return min(own, MOST), min(quoted, MOST)
 
 
 def _in_quotes(text: str, start: int, end: int) -> bool:
@@ -195,8 +197,8 @@ def _held(candidates: dict[str, int]):
 
 def _choose(rows: list[list[int]], names: list[str], odds: np.ndarray, enough: float) -> list[int]:
     """Candidates that together explain the toxic rows, the one that explains most first;
-    longer and more telling ones win near ties. A row that a candidate explains counts a
-    quarter for the next. So words that merely come along in copies don't get in."""
+    longer and more telling ones win near ties. A row that a candidate explains counts half
+    for the next. So words that merely come along in copies don't get in."""
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     what = np.array([c for r in rows for c in r], np.int64)
     favour = (1 + 0.02 * np.array([len(n) for n in names])) * odds
@@ -210,7 +212,7 @@ def _choose(rows: list[list[int]], names: list[str], odds: np.ndarray, enough: f
         if not gain[best]:
             break
         chosen.append(best)
-        weight[of[what == best]] *= 0.25
+        weight[of[what == best]] *= 0.5
         open_to &= ~np.array([n.startswith(names[best]) or names[best].startswith(n) for n in names])
     return chosen
 
@@ -225,15 +227,22 @@ def _family(batch: pa.RecordBatch) -> dict:
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
-    """Weighted ridge logistic regression by Newton steps."""
+    """Weighted ridge logistic regression by Newton steps, each halved until it improves."""
     a = np.column_stack([np.ones(len(x)), x])
-    beta, ridge = np.zeros(3), np.diag([1e-3, 0.05, 0.05])
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        gradient = a.T @ (weight * (y - p)) - ridge @ beta
-        step = np.linalg.solve(a.T @ (a * (weight * p * (1 - p))[:, None]) + ridge + 1e-9 * np.eye(3), gradient)
-        beta = beta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+    beta, ridge = np.zeros(3), np.array([1e-3, 0.05, 0.05])
+
+    def loss(b: np.ndarray) -> float:
+        return float((weight * (np.logaddexp(0, a @ b) - y * (a @ b))).sum() + (ridge * b * b).sum() / 2)
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a @ beta, -500, 500)))
+        gradient = a.T @ (weight * (y - p)) - ridge * beta
+        step = np.linalg.solve(a.T @ (a * (weight * p * (1 - p))[:, None]) + np.diag(ridge) + 1e-9 * np.eye(3), gradient)
+        size, now = 1.0, loss(beta)
+        while size > 1e-6 and loss(beta + size * step) > now:
+            size /= 2
+        beta = beta + size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     return tuple(beta.tolist())
 

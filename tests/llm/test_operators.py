@@ -110,7 +110,7 @@ def test_quotation_counts_less_than_abuse():
 
     entries = (Entry("idiot", False, 5.0),)
     lexicon = Lexicon(list(entries))
-    model = Model(entries, (-3.0, 4.0, 0.0))
+    model = Model(entries, (-3.0, 2.0, 0.0))
     own, quoted, none = (float(model.score(np.array([lexicon.features(t)]))[0]) for t in (
         "you are an ldiot , really", 'the word "idiot" is from the greek', "a calm text"))
     assert own > 0.5 > quoted > none
