@@ -41,6 +41,8 @@ SPELLINGS = [
 ]
 _COPYRIGHT_LINE = r"^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$"
 _OTHER = r"[^a-z0-9]+"
+#: Known texts up to which their digests go to every worker; more of them are shuffled.
+SHARED = 100_000
 
 
 def _lower(text: Column) -> Column:
@@ -63,8 +65,10 @@ def digest(text: Column) -> Column:
 
 def known_digests(spark, notices: list[tuple[str, str]] | None = None) -> DataFrame:
     """(digest, license) of the known texts, one row per digest. A table of the size of `notices`."""
-    rows = spark.createDataFrame(list(NOTICES if notices is None else notices), "license string, text string")
-    return rows.select(digest(F.col("text")).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+    listed = list(NOTICES if notices is None else notices)
+    rows = spark.createDataFrame(listed, "license string, text string").coalesce(1 + len(listed) // SHARED)
+    known = rows.select(digest(F.col("text")).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+    return F.broadcast(known) if len(listed) <= SHARED else known
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -76,8 +80,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     `lines` lists the lines' numbers from 1, and `licenses` all licences met, sorted.
     Texts match by the digest of their canonical form.
 
-    The known texts are hash-joined: Spark broadcasts them as long as they are small, else
-    shuffles by digest. Only what matches is grouped, by a 128-bit key of the text.
+    The known texts are hash-joined: up to SHARED of them are broadcast, so no part of a
+    document is shuffled; of more, a shuffle by digest. Only what matches is grouped, by a
+    128-bit key of the text.
 
     Null and empty texts match nothing. Repeated rows and null ids are scanned like
     others; other columns are ignored; no rows give no rows."""
@@ -89,7 +94,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     paragraphs = F.transform(F.filter(F.split("text", "\n[ \t]*\n"), lambda part: F.contains(part, F.lit("\n"))),
                              lambda part: F.struct(F.lit(-1).alias("line"), part.alias("part")))
     parts = rows.where("text is not null").select("k1", "k2", F.explode(F.concat(whole, lines, paragraphs)).alias("x"))
-    met = parts.select("k1", "k2", "x.line", digest(F.col("x.part")).alias("digest")).join(known, "digest")
+    # Never null, or the join would test for it by computing the digest once more.
+    never_null = F.coalesce(digest(F.col("x.part")), F.lit(""))
+    met = parts.select("k1", "k2", "x.line", never_null.alias("digest")).join(known, "digest")
     found = (met.groupBy("k1", "k2", "line", "license").agg(F.count("*").alias("n"))
              .groupBy("k1", "k2").agg(
                  F.max(F.when(F.col("line") == 0, F.col("license"))).alias("whole_license"),
