@@ -52,7 +52,12 @@ def _lower(text: Column) -> Column:
 def canonical(text: Column) -> Column:
     """A-Z lowered, copyright lines with a year left out, all but letters a-z and digits as
     single blanks, equivalent spellings made one."""
-    plain = F.regexp_replace(_lower(text), "(?dm)" + _COPYRIGHT_LINE, " ")
+    return _canonical(_lower(text))
+
+
+def _canonical(low: Column) -> Column:
+    may_claim = F.contains(low, F.lit("copyright")) | F.contains(low, F.lit("(c)")) | F.contains(low, F.lit("©"))
+    plain = F.when(may_claim, F.regexp_replace(low, "(?dm)" + _COPYRIGHT_LINE, " ")).otherwise(low)
     plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(plain, _OTHER, " ")), F.lit(" "))
     for other, usual in SPELLINGS:
         plain = F.replace(plain, F.lit(f" {other} "), F.lit(f" {usual} "))
@@ -89,13 +94,13 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = known_digests(docs.sparkSession, notices)
     rows = only(docs, **{id_col: "doc_id", text_col: "text"}).select(
         "doc_id", "text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit("second"), "text").alias("k2"))
-    whole = F.array(F.struct(F.lit(0).alias("line"), F.col("text").alias("part")))
-    lines = F.transform(F.split("text", "\n"), lambda part, i: F.struct((i + 1).alias("line"), part.alias("part")))
-    paragraphs = F.transform(F.filter(F.split("text", "\n[ \t]*\n"), lambda part: F.contains(part, F.lit("\n"))),
+    whole = F.array(F.struct(F.lit(0).alias("line"), F.col("low").alias("part")))
+    lines = F.transform(F.split("low", "\n"), lambda part, i: F.struct((i + 1).alias("line"), part.alias("part")))
+    paragraphs = F.transform(F.filter(F.split("low", "\n[ \t]*\n"), lambda part: F.contains(part, F.lit("\n"))),
                              lambda part: F.struct(F.lit(-1).alias("line"), part.alias("part")))
-    parts = rows.where("text is not null").select("k1", "k2", F.explode(F.concat(whole, lines, paragraphs)).alias("x"))
+    parts = rows.where("text is not null").select("k1", "k2", _lower(F.col("text")).alias("low")).select("k1", "k2", F.explode(F.concat(whole, lines, paragraphs)).alias("x"))
     # Never null, or the join would test for it by computing the digest once more.
-    never_null = F.coalesce(digest(F.col("x.part")), F.lit(""))
+    never_null = F.coalesce(F.md5(_canonical(F.col("x.part"))), F.lit(""))
     met = parts.select("k1", "k2", "x.line", never_null.alias("digest")).join(known, "digest")
     found = (met.groupBy("k1", "k2", "line", "license").agg(F.count("*").alias("n"))
              .groupBy("k1", "k2").agg(
