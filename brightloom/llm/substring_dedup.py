@@ -126,7 +126,8 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
     Texts join on winnowed seeds. A seed whose whole surroundings occur twice confirms
     all its windows in one row. Where surroundings differ, one text of each kind is
     extended window by window to both sides, and equal windows are counted. So a passage
-    in a third of all rows costs one row per place and is never gathered in one task.
+    in a third of all rows costs one row per place. Counts are written before they are
+    joined, so both sides of each join are dealt anew and Spark can split a hot seed.
 
     Null and wordless texts have no words and keep the empty text; texts shorter than
     `length` words are kept whole. Repeated rows repeat each other's windows and lose all
@@ -135,28 +136,32 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
     base = text_keys(only(docs, **{text_col: "text"}))
     found = durable(arrow_pass(base, _seed_rows(length, seed_words),
                                "k1 long, k2 long, seed long, span long, first int, more int"))
-    shared = found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    shared = durable(found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"))
     places = durable(found.join(shared, "seed"))
-    forget(found)
-
-    spans = places.groupBy("seed", "span").agg(
-        F.count("*").alias("n"), F.min(F.xxhash64("k1", "k2", "first")).alias("pick"))
-    kinds = spans.groupBy("seed").agg(F.count("*").alias("kinds"))
-    judged = (places.join(spans.join(kinds, "seed"), ["seed", "span"])
-              .where("n > 1 or kinds > 1")
-              .select("k1", "k2", "first", "more", (F.col("n") > 1).alias("whole"),
-                      ((F.col("kinds") > 1) & ((F.col("n") == 1) | (F.col("pick") == F.xxhash64("k1", "k2", "first")))).alias("extend")))
-    judged = durable(judged.distinct())
-    forget(places)
+    for used in (found, shared):
+        forget(used)
+
+    spans = durable(places.groupBy("seed", "span").agg(
+        F.count("*").alias("n"), F.min(F.xxhash64("k1", "k2", "first")).alias("pick")))
+    kinds = durable(spans.groupBy("seed").agg(F.count("*").alias("kinds")))
+    marked = durable(spans.join(kinds, "seed").where("n > 1 or kinds > 1"))
+    judged = durable(
+        places.join(marked, ["seed", "span"])
+        .select("k1", "k2", "first", "more", (F.col("n") > 1).alias("whole"),
+                ((F.col("kinds") > 1) & ((F.col("n") == 1) | (F.col("pick") == F.xxhash64("k1", "k2", "first")))).alias("extend"))
+        .distinct())
+    for used in (places, spans, kinds, marked):
+        forget(used)
     texts = base.groupBy("k1", "k2").agg(F.first("text").alias("text"))
     todo = judged.where("extend").groupBy("k1", "k2").agg(
         F.collect_list(F.struct("first", "more", (~F.col("whole")).alias("ask"))).alias("todo"))
     windows = durable(arrow_pass(texts.join(todo, ["k1", "k2"]), _window_rows(length),
                                  "k1 long, k2 long, v1 long, v2 long, first int, ask boolean"))
-    twice = windows.groupBy("v1", "v2").agg(
-        F.sum(F.when(F.col("ask"), 1).otherwise(2)).alias("n")).where("n > 1").select("v1", "v2")
+    twice = durable(windows.groupBy("v1", "v2").agg(
+        F.sum(F.when(F.col("ask"), 1).otherwise(2)).alias("n")).where("n > 1").select("v1", "v2"))
     extended = durable(windows.where("ask").join(twice, ["v1", "v2"]).select("k1", "k2", "first", F.lit(0).alias("more")))
-    forget(windows)
+    for used in (windows, twice):
+        forget(used)
     confirmed = (judged.where("whole").select("k1", "k2", "first", "more").union(extended)
                  .groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "more")).alias("found")))
     return arrow_pass(
