@@ -18,10 +18,13 @@ from .common import arrow_pass, fold_of, only, texts_of, window_hashes, word_has
 SAMPLE = 4_000
 #: Prefixes that may become lexicon stems.
 SHORTEST, LONGEST = 4, 12
-#: Toxic sample rows a lexicon entry must occur in, and must explain as a share of all of them.
-SUPPORT, SHARE = 3, 0.005
-#: Least log odds between toxic and clean rows of a lexicon entry.
-PURE = 4.5
+#: Toxic sample rows a lexicon entry must occur in, and must explain where each explained before counts half.
+SUPPORT, NEWS = 3, 2.0
+#: Least ratio of the odds of toxic among a lexicon entry's rows to those among all rows, and
+#: the normal quantile of its lower bound (Wilson's, one-sided 95 %).
+LIFT, CERTAIN = 4.0, 1.645
+#: Share of the accepted terms that may owe their toxic rows to chance (Benjamini and Hochberg).
+CHANCE = 0.01
 #: Evidence that is left of a hit for each edit, and inside quotation marks.
 PER_EDIT = 0.6
 QUOTED = 0.2
@@ -179,6 +182,34 @@ def _odds(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
     return math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
 
 
+def _lift(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
+    """Lower bound of a term's odds of toxic, in multiples of those of all rows. It rests on
+    the rows that have the term: how many clean rows lack it moves only the scale."""
+    n, z2 = toxic + clean, CERTAIN ** 2
+    share = toxic / n
+    low = (share + z2 / (2 * n) - CERTAIN * math.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    return low / (1 - low) * n_clean / n_toxic
+
+
+def _by_chance(toxic: int, clean: int, base: float) -> float:
+    """Probability of as many toxic rows or more among a term's rows, if each is toxic with probability `base`."""
+    n = toxic + clean
+    logs = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(base) + (n - k) * math.log1p(-base)
+            for k in range(toxic, n + 1)]
+    return math.fsum(map(math.exp, logs))
+
+
+def _telling(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) -> list[str]:
+    """Terms, sorted, whose odds are LIFT times those of all rows for certain, and that are
+    not among the rows of one class by chance, allowing for the number of terms tried."""
+    if not n_toxic or not n_clean:
+        return []
+    base = n_toxic / (n_toxic + n_clean)
+    ranked = sorted((_by_chance(*both, base), term) for term, both in counts.items() if _lift(*both, n_toxic, n_clean) >= LIFT)
+    last = max((i for i, (p, _) in enumerate(ranked, 1) if p * len(counts) <= CHANCE * i), default=0)
+    return sorted(term for _, term in ranked[:last])
+
+
 def _held(candidates: dict[str, int]):
     """Of each toxic row, the numbers of the candidates it has."""
 
@@ -269,10 +300,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     counts = (arrow_pass(rows, _prefix_counts, "prefix string, toxic long, clean long").groupBy("prefix")
               .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic >= {SUPPORT}").collect())
     odds = {r["prefix"]: _odds(r["toxic"], r["clean"], n.get(1, 0), n.get(0, 0)) for r in counts}
-    pure = sorted(p for p, o in odds.items() if o > PURE)
+    of = {r["prefix"]: (r["toxic"], r["clean"]) for r in counts}
+    pure = _telling(of, n.get(1, 0), n.get(0, 0))
+    worth = {p: math.log(_lift(*of[p], n[1], n[0])) for p in pure}
     held = [r["found"] for r in arrow_pass(rows.where("label = 1"), _held({p: i for i, p in enumerate(pure)}), "found array<int>").collect()]
-    entries = tuple(Entry(pure[i].rstrip(), pure[i][-1] != " ", odds[pure[i]])
-                    for i in _choose(held, pure, np.array([odds[p] for p in pure]), max(SUPPORT, SHARE * n.get(1, 0))))
+    entries = tuple(Entry(pure[i].rstrip(), pure[i][-1] != " ", worth[pure[i]])
+                    for i in _choose(held, pure, np.array([odds[p] for p in pure]), NEWS))
     x = _featured(rows, entries, {"label": "int"}).select("own", "quoted", "label").collect()
     rows.unpersist()
     if not n.get(1) or not n.get(0):

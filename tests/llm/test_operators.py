@@ -128,6 +128,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert n.get((0, 1), 0) <= 0.02 * (n.get((0, 1), 0) + n.get((0, 0), 0))
 
 
+def test_toxicity_lexicon_of_few_labels(spark):
+    from brightloom.llm.toxicity import _telling, fit_toxicity, score_toxicity
+
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_toxicity(docs, labels)
+    assert {"disgusting", "loser"} <= {e.term for e in model.entries}
+    assert score_toxicity(docs, model).where("predicted = 1").count() > 3
+    for clean in (58, 259, 4_000):
+        assert _telling({"slur": (15, 0), "word": (15, clean // 4)}, 40, clean) == ["slur"]
+    assert _telling({"slur": (20, 0), "word": (400, 390)}, 4_000, 4_000) == ["slur"]
+
+
 def test_mixture_weights_and_budget(spark):
     from brightloom.llm.mixing import mix, source_weights
 
