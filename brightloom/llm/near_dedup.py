@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -14,10 +16,8 @@ from .components import components
 
 WIDTH = 5
 COORDINATES = 96
-#: Two sets with a similarity of 0.85 agree in fewer than 66 of 96 coordinates about once in 100,000 pairs.
-LEAST_MATCHES = 66
-#: Pairs that agree in LEAST_MATCHES coordinates share one of any so many, if both order their pairs alike.
-PREFIX = COORDINATES - LEAST_MATCHES + 1
+#: Share of the pairs with just the similarity asked for that may agree in fewer coordinates than are called for.
+MISSED = 2e-5
 #: Slots of the table that estimates how common a coordinate-value pair is. Its size does not grow with the data.
 SLOT_BITS = 20
 LEADER_ROUNDS = 2
@@ -26,6 +26,18 @@ BLOCK = 2048
 #: Sets of connected candidates that are compared in one piece of work, about half.
 CELL = 256
 
+
+def least_matches(percent: int) -> int:
+    """Coordinates in which two sets of a similarity of `percent` hundredths agree, all but MISSED of such pairs."""
+    p, below, matches = percent / 100, 0.0, 0
+    while matches < COORDINATES:
+        below += math.comb(COORDINATES, matches) * p ** matches * (1 - p) ** (COORDINATES - matches)
+        if below > MISSED:
+            break
+        matches += 1
+    return max(matches, 1)
+
+
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _rng.integers(0, 2**63, COORDINATES, dtype=np.uint64)
@@ -104,18 +116,20 @@ def _commonness(nodes: DataFrame):
     return nodes.sparkSession.sparkContext.broadcast(table)
 
 
-def postings(nodes: DataFrame) -> DataFrame:
-    """(token, node, n): each set posted under the PREFIX rarest of its coordinate-value
-    pairs. All sets order the pairs alike, by estimated commonness and then token."""
+def postings(nodes: DataFrame, least: int) -> DataFrame:
+    """(token, node, n): each set posted under so many of its rarest coordinate-value pairs
+    that sets which agree in `least` coordinates share one. All sets order the pairs alike,
+    by estimated commonness and then token."""
+    prefix = COORDINATES - least + 1
     table = _commonness(nodes)
 
     def post(batch):
         if not batch.num_rows:
             return None
         tokens = _tokens(batch.column("signature").to_pylist())
-        order = np.lexsort((tokens, table.value[_slots(tokens)]), axis=1)[:, :PREFIX]
+        order = np.lexsort((tokens, table.value[_slots(tokens)]), axis=1)[:, :prefix]
         chosen = np.take_along_axis(tokens, order, axis=1)
-        repeat = lambda name: np.repeat(batch.column(name).to_numpy(), PREFIX)
+        repeat = lambda name: np.repeat(batch.column(name).to_numpy(), prefix)
         return {"token": as_long(chosen.ravel()), "node": repeat("node"), "n": repeat("n")}
 
     return arrow_pass(nodes.select("node", "n", "signature"), post, "token long, node long, n int")
@@ -125,13 +139,17 @@ def _sketches(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
 
 
-def _matches(batch: pa.RecordBatch) -> dict | None:
-    """Of pairs with both sketches, those that agree in LEAST_MATCHES coordinates."""
-    if not batch.num_rows:
-        return None
-    left, right = (_sketches(batch.column(c)) for c in ("left", "right"))
-    keep = np.flatnonzero((left == right).sum(axis=1) >= LEAST_MATCHES)
-    return {c: batch.column(c).take(pa.array(keep)) for c in ("a", "b")}
+def _matches(least: int):
+    """Of pairs with both sketches, those that agree in `least` coordinates."""
+
+    def run(batch: pa.RecordBatch) -> dict | None:
+        if not batch.num_rows:
+            return None
+        left, right = (_sketches(batch.column(c)) for c in ("left", "right"))
+        keep = np.flatnonzero((left == right).sum(axis=1) >= least)
+        return {c: batch.column(c).take(pa.array(keep)) for c in ("a", "b")}
+
+    return run
 
 
 def _sketch(batch: pa.RecordBatch) -> dict:
@@ -150,8 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
     Rows are linked when their sets of five-word shingles have a Jaccard similarity of
-    `percent` hundredths or more, confirmed on the whole sets (`percent` below 85 makes
-    misses likelier). component_id is the least id a row is connected to; kept marks
+    `percent` hundredths or more, confirmed on the whole sets. component_id is the least id a row is connected to; kept marks
     the rows that carry it.
 
     Equal sets are one node from the start, so exact copies cost nothing. Nodes that
@@ -159,13 +176,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     to pairs: each member first meets the list's leader, the node with most company on
     its lists, then one chosen by hash. After that only nodes outside a list's largest
     class meet the other classes, first their closest partner and at last all that agree
-    in LEAST_MATCHES coordinates, so that no link between classes is lost.
+    in ``least_matches(percent)`` coordinates, so that no link between classes is lost.
 
     Null or wordless texts have the empty set, are linked with nothing and are their own
     component. A null id never names a component: a class of null ids alone gets a null
     component_id and its rows are kept. Repeated rows fall into one class. Columns
     besides id and text are ignored. No rows give no rows."""
-    spark = docs.sparkSession
+    spark, least = docs.sparkSession, least_matches(percent)
     base = only(docs, **{id_col: "doc_id", text_col: "text"}).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         F.concat(F.hex(F.xxhash64("text")), F.hex(F.xxhash64(F.lit(7), "text"))).alias("key"))
@@ -175,7 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("n").alias("n"),
              F.first("signature").alias("signature"))
         .withColumn("node", F.monotonically_increasing_id()))
-    posts = durable(postings(nodes))
+    posts = durable(postings(nodes, least))
     lists = posts.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
     live = durable(posts.join(lists.select("token"), "token"))
     forget(posts)
@@ -191,9 +208,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             rank = F.col("common") if turn == 0 else F.xxhash64("node", F.lit(turn))
             pairs = _to_leaders(live, labels, common, rank)
             pairs = arrow_pass(pairs.join(sketches.toDF("a", "left"), "a").join(sketches.toDF("b", "right"), "b"),
-                               _matches, "a long, b long")
+                               _matches(least), "a long, b long")
         else:
-            pairs = _across(live, labels, sketches, percent, best=step == "best").distinct()
+            pairs = _across(live, labels, sketches, percent, least, best=step == "best").distinct()
         pairs = durable(pairs)
         found = durable(_confirmed(pairs, known, percent))
         news = not found.isEmpty()
@@ -274,8 +291,8 @@ def _to_leaders(live: DataFrame, labels: DataFrame, common: DataFrame, rank) ->
     return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Pairs on a common list from different classes that agree in LEAST_MATCHES coordinates.
+def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, least: int, best: bool) -> DataFrame:
+    """Pairs on a common list from different classes that agree in `least` coordinates.
 
     On each list the nodes outside its largest class meet all nodes of other classes. A
     list is dealt in blocks of about BLOCK nodes, and each block meets all outsiders, so
@@ -313,7 +330,7 @@ def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: in
             if not len(j):
                 continue
             same = (sig[j] == sig[i]).sum(axis=1)
-            agree = np.flatnonzero(same >= LEAST_MATCHES)
+            agree = np.flatnonzero(same >= least)
             agree = agree[[min(shared(i) & shared(x)) == token for x in j[agree]]] if len(agree) else agree
             keep = j[agree[[same[agree].argmax()]]] if best and len(agree) else j[agree]
             a.append(np.full(len(keep), node[i]))

@@ -168,6 +168,25 @@ def test_mixture_weights_and_budget(spark):
     assert 29_900 < small.agg(F.sum("mix_tokens")).first()[0] <= 30_000
 
 
+def test_pipeline_drops_copies_of_a_similarity_from_80_to_85(spark):
+    from brightloom.llm.near_dedup import least_matches, shingle_set
+    from corpus_pipeline import one_of_each_group
+
+    assert (least_matches(85), least_matches(80)) == (66, 59)
+    rng, texts = random.Random(9), []
+    for pair in range(60):
+        words = [f"s{pair}_{rng.randrange(10 ** 6)}" for _ in range(300)]
+        copy = list(words)
+        for at in range(20, 300, 50):
+            copy[at] = f"c{at}"
+        texts += [" ".join(words), " ".join(copy)]
+    sets = [set(shingle_set(t.encode()).tolist()) for t in texts]
+    near = [(a, b) for a in range(120) for b in range(a + 1, 120) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(near) == 60 and all(len(sets[a] & sets[b]) < 0.85 * len(sets[a] | sets[b]) for a, b in near)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in one_of_each_group(spark, docs, "").collect()} == set(range(120)) - {b for _, b in near}
+
+
 def test_near_copies_in_chains_are_one_class(spark):
     from brightloom.llm.near_dedup import near_duplicates, shingle_set
 
