@@ -9,7 +9,7 @@ from brightloom.llm.near_dedup import near_duplicates
 from brightloom.llm.packing import pack_documents
 from brightloom.llm.substring_dedup import text_keys, without_repeats
 from brightloom.llm.toxicity import fit_toxicity, without_toxic
-from brightloom.runtime import scratch_path
+from brightloom.runtime import durable, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,11 +19,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies, five-word similarity 0.8 or more. Of rows that repeat an
-    id one stays; rows without an id all do."""
-    kept = near_duplicates(docs, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One row of each group of near copies, five-word similarity 0.8 or more: the one with
+    the least id, null ids last. Ids name nothing here: rows that repeat an id with other
+    texts stay, and rows without an id are compared like all. Rows without words all stay."""
+    key = "_row"
+    while key in map(str.lower, docs.columns):
+        key += "_"
+    keyed = durable(docs.withColumn(key, F.monotonically_increasing_id()))
+    classes = near_duplicates(keyed, id_col=key, percent=80).select(F.col("doc_id").alias(key), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key)))[key]
+    kept = keyed.select(key, "doc_id").join(classes, key).groupBy("component_id").agg(first.alias(key)).select(key)
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,6 +187,16 @@ def test_pipeline_drops_copies_of_a_similarity_from_80_to_85(spark):
     assert {r.doc_id for r in one_of_each_group(spark, docs, "").collect()} == set(range(120)) - {b for _, b in near}
 
 
+def test_pipeline_keeps_one_row_of_each_class_whatever_the_ids(spark):
+    from corpus_pipeline import one_of_each_group
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
+    rows = [(7, a), (2, a), (2, b), (None, a + " more"), (None, c), (None, c), (None, c + " more"), (3, b), (9, ""), (9, None)]
+    got = one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    assert Counter((r.doc_id, r.text[:1] if r.text else r.text) for r in got.collect()) == Counter(
+        [(2, "a"), (2, "b"), (None, "c"), (9, ""), (9, None)])
+
+
 def test_near_copies_in_chains_are_one_class(spark):
     from brightloom.llm.near_dedup import near_duplicates, shingle_set
 
