@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect
 from collections import Counter
 from dataclasses import dataclass
 
@@ -30,11 +31,12 @@ PER_EDIT = 0.6
 QUOTED = 0.2
 #: Evidence beyond which a text is as toxic as can be.
 MOST = 10.0
-#: Characters around a hit that are searched for quotation marks.
-WINDOW = 60
 REMEMBERED = 200_000
 _TOKEN = re.compile(r"\w+")
-_OPENING, _CLOSING = "\"“„«‹”", "\"”“»›"
+#: Marks that open a quotation with those that close it, and the kind of each mark.
+_MARK = re.compile("[\n\"“„”«»‹›]")
+_CLOSING = {"\"": "\"", "“": "”“", "„": "“”", "”": "”", "«": "»", "‹": "›"}
+_KIND = {"\"": 0, "“": 1, "„": 1, "”": 1, "«": 2, "»": 2, "‹": 3, "›": 3}
 
 
 @dataclass(frozen=True)
@@ -132,25 +134,41 @@ class Lexicon:
         low = text.lower()
         if not any(map(self.evidence, set(_TOKEN.findall(low)))):
             return 0.0, 0.0
-        own = quoted = 0.0
+        own, quoted, spans = 0.0, 0.0, _quotations(low)
         for hit in _TOKEN.finditer(low):
             worth = self.evidence(hit[0])
             if worth:
-                if _in_quotes(low, hit.start(), hit.end()):
+                at = bisect(spans, (hit.start(), len(low))) - 1
+                if at >= 0 and hit.start() < spans[at][1]:
                     own, quoted = own + QUOTED * worth, quoted + worth
                 else:
                     own += worth
         return min(own, MOST), min(quoted, MOST)
 
 
-def _in_quotes(text: str, start: int, end: int) -> bool:
-    """Whether a quotation opens before the hit and closes behind it, within WINDOW
-    characters on the same line."""
-    before, after = text[max(0, start - WINDOW):start].rsplit("\n", 1)[-1], text[end:end + WINDOW].split("\n", 1)[0]
-    straight = before.count('"') % 2 == 1 and '"' in after
-    opened = max(before.rfind(c) for c in _OPENING[1:])
-    closed = max(before.rfind(c) for c in "»›")
-    return straight or (opened > closed and any(c in after for c in _CLOSING[1:]))
+def _quotations(text: str) -> list[tuple[int, int]]:
+    """Spans inside quotation marks, in order and apart. Marks are paired from the start of
+    each line, however long the quotation; one that the line doesn't close quotes nothing."""
+    spans: list[tuple[int, int]] = []
+    opened: dict[int, tuple[int, str]] = {}
+    for found in _MARK.finditer(text):
+        mark, at = found[0], found.start()
+        if mark == "\n":
+            opened.clear()
+            continue
+        start, by = opened.get(_KIND[mark], (0, ""))
+        if by and mark in _CLOSING[by]:
+            spans.append((start, at))
+            del opened[_KIND[mark]]
+        elif mark in _CLOSING:
+            opened[_KIND[mark]] = (at, mark)
+    apart: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if apart and start < apart[-1][1]:
+            apart[-1] = (apart[-1][0], max(end, apart[-1][1]))
+        else:
+            apart.append((start, end))
+    return apart
 
 
 @dataclass(frozen=True)

@@ -116,6 +116,17 @@ def test_quotation_counts_less_than_abuse():
     assert own > 0.5 > quoted > none
 
 
+def test_quotations_of_any_length_are_paired():
+    from brightloom.llm.toxicity import QUOTED, Entry, Lexicon
+
+    lexicon, long = Lexicon([Entry("moron", False, 5.0)]), "words and " * 9
+    abuse, quoted = (5.0, 0.0), (5.0 * QUOTED, 5.0)
+    for text, want in [(f'"{long}" you moron , and then "bye"', abuse), (f'"{long} moron"', quoted), (f'"moron {long}"', quoted),
+                       (f"„{long} moron“ and", quoted), (f"«{long}» moron «bye»", abuse), (f"“{long}” moron “bye”", abuse),
+                       (f'"{long}\nmoron" x', abuse), ('"a" “b "moron" c” d', quoted), ("moron", abuse)]:
+        assert lexicon.features(text) == pytest.approx(want), text
+
+
 def test_toxicity_on_held_out_rows(spark):
     from brightloom.llm.toxicity import fit_toxicity, score_toxicity
 
