@@ -64,8 +64,8 @@ def _join(left: np.ndarray, right: np.ndarray, salt: np.uint64) -> np.ndarray:
     return x * np.uint64(0xD6E8FEB86659FD93)
 
 
-def arrow_pass(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """``fn`` on each Arrow batch; the dict of columns it returns becomes rows of `schema`."""
+def arrow_pass(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, at_once: int = ROWS) -> DataFrame:
+    """``fn`` on each Arrow batch, `at_once` rows at most; the dict of columns it returns becomes rows of `schema`."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -73,8 +73,8 @@ def arrow_pass(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schem
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                out = fn(whole.slice(at, ROWS))
+            for at in range(0, whole.num_rows, at_once):
+                out = fn(whole.slice(at, at_once))
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([_typed(out[f.name], f.type) for f in target], schema=target)
 

@@ -163,3 +163,10 @@ def _(read):
     from .quality_classifier import classify_quality
 
     return classify_quality(read("documents"), read("labels"), site_cols=("source", "lang"))
+
+
+@query("op11_embedding_whitening")
+def _(read):
+    from .whitening import whiten
+
+    return whiten(read("embeddings"))
