@@ -170,3 +170,16 @@ def _(read):
     from .whitening import whiten
 
     return whiten(read("embeddings"))
+
+
+@query("op12_warc_capture_index", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS b FROM pages),
+d AS (SELECT page_id, octet_length(encode(b))::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id < page_id THEN first_id END AS refers_to FROM f
+""")
+def _(read):
+    from .warc import archive_pages
+
+    return archive_pages(read("pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
