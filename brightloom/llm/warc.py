@@ -189,7 +189,7 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    target = to_arrow_schema(_parse_datatype_string(CAPTURE), timezone="UTC")
+    target = to_arrow_schema(_parse_datatype_string(CAPTURE))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
