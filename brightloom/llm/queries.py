@@ -183,3 +183,25 @@ def _(read):
     from .warc import archive_pages
 
     return archive_pages(read("pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+TERMS_SQL = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op13_ranked_search", f"""
+WITH d AS (SELECT doc_id, {TERMS_SQL.format(text=ASCII_LOWER_SQL.format(text="text"))} AS t FROM documents WHERE text IS NOT NULL),
+h AS (SELECT doc_id, t, len(t) AS n FROM d WHERE len(t) > 0),
+g AS (SELECT count(*)::BIGINT AS n_all, sum(n)::BIGINT AS l_all FROM h),
+f AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM h) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(n_all) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, g GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest({TERMS_SQL.format(text=ASCII_LOWER_SQL.format(text="text"))}) AS term FROM benchmark),
+m AS (SELECT doc_id, 50 + ((50 * n * n_all) // l_all) AS m FROM h, g),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN f USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+""")
+def _(read):
+    from .ranked_search import ranked_search
+
+    return ranked_search(read("documents"), read("benchmark"))
