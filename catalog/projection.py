@@ -208,8 +208,7 @@ def _(t):
     SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS place
     FROM supplier ORDER BY s_acctbal DESC, s_suppkey""")
 def _(t):
-    by = [F.desc("s_acctbal"), F.asc("s_suppkey")]
-    return number_rows(t.supplier.select("s_suppkey", "s_acctbal"), by, "place").orderBy("place")
+    return number_rows(t.supplier.select("s_suppkey", "s_acctbal"), ["-s_acctbal", "s_suppkey"], "place").orderBy("place")
 
 
 @entry("p25_head", "SELECT event_id, value FROM events ORDER BY event_id LIMIT 5")

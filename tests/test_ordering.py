@@ -17,7 +17,7 @@ def skewed(spark):
 
 
 def test_numbers_match_a_sort_in_every_group(skewed):
-    got = O.number_rows(skewed, [F.desc("v"), "id"], by=["k"]).toPandas()
+    got = O.number_rows(skewed, ["-v", "id"], by=["k"]).toPandas()
     assert len(got) == 3002
     for _, group in got.groupby("k", dropna=False):
         want = group.sort_values(["v", "id"], ascending=[False, True])
@@ -29,6 +29,59 @@ def test_running_totals(skewed):
     assert np.allclose(got["total"], got["v"].cumsum())
 
 
+@pytest.fixture(scope="module")
+def lopsided(spark):
+    """Nine of ten rows under one key; the order has a null and goes down in one column."""
+    rng = np.random.default_rng(11)
+    rows = [("hot" if i % 10 else f"k{i % 70}", None if i == 5 else int(rng.integers(0, 50)), f"r{i}", i % 7) for i in range(6000)]
+    return spark.createDataFrame(rows, "k string, a int, b string, w int").repartition(6)
+
+
+def _sorted_by_a(rows):
+    down = sorted(rows, key=lambda r: r["b"])
+    return sorted(down, key=lambda r: (r["a"] is None, -(r["a"] or 0)))
+
+
+def test_running_totals_of_a_hot_key_write_nothing(lopsided, monkeypatch):
+    from brightloom import runtime
+
+    def written(df):
+        raise AssertionError("wrote a table")
+
+    monkeypatch.setattr(O, "durable", written)
+    monkeypatch.setattr(runtime, "durable", written)
+    got = O.prefix_sum(lopsided, ["-a", "b"], "total", "w", ["k"], slices=16)
+    by = {}
+    for r in got.collect():
+        by.setdefault(r["k"], []).append(r)
+    assert sum(map(len, by.values())) == 6000
+    for rows in by.values():
+        ranked = _sorted_by_a(rows)
+        assert [r["total"] for r in ranked] == list(np.cumsum([r["w"] for r in ranked]))
+    slices = got.select("k").groupBy("k").count().count()
+    assert slices == len(by)
+
+
+def test_slices_are_even_whatever_the_plan(lopsided):
+    cut = O.Slices(lopsided, ["k", "-a", "b"], 16)
+    once = {r["b"]: r["s"] for r in lopsided.select("b", cut.of_row().alias("s")).collect()}
+    again = {r["b"]: r["s"] for r in lopsided.repartition(3, "w").select("b", cut.of_row().alias("s")).collect()}
+    assert once == again
+    sizes = np.bincount(list(once.values()))
+    assert len(sizes) == 16 and sizes.max() < 3 * 6000 / 16
+
+
+@pytest.mark.parametrize("n", [0, 1, 17, 2500, 5999, 6000, 7000])
+def test_tail_and_head_by_the_nth_key(lopsided, monkeypatch, n):
+    monkeypatch.setattr(O, "IN_ONE_SORT", 40)
+    marked = O.holdout_tail(lopsided, ["-a", "b"], n).collect()
+    ranked = _sorted_by_a(marked)
+    assert [r["is_test"] for r in ranked] == [0] * (6000 - min(n, 6000)) + [1] * min(n, 6000)
+    if 0 < n <= 6000:
+        first = O.split_ordered(lopsided, ["-a", "b"], n / 6000).collect()
+        assert [r["is_train"] for r in _sorted_by_a(first)] == [1] * n + [0] * (6000 - n)
+
+
 def test_quantiles_match_linear_interpolation(skewed):
     got = O.exact_quantiles(skewed, ["v"], [0.0, 0.1, 0.5, 0.9, 1.0], ["k"]).toPandas()
     data = skewed.toPandas()
@@ -37,16 +90,34 @@ def test_quantiles_match_linear_interpolation(skewed):
         assert row["value"] == pytest.approx(np.quantile(same["v"], row["prob"]))
 
 
-def test_ranking_all_values_gives_the_same_quantiles(skewed, monkeypatch):
-    monkeypatch.setattr(O, "RANK_ALL_VALUES", 0)
-    keys, probs = ["k", "variable"], [0.01, 0.25, 0.5, 0.75]
-    ranked = O._ranked_quantiles(O._long(skewed, ["v"], ["k"]), keys, probs)
-    sketched = O.exact_quantiles(skewed, ["v"], probs, ["k"])
-    assert sorted(map(str, ranked.collect())) == sorted(map(str, sketched.collect()))
-
-
-def test_quantiles_of_many_rows_and_heavy_ties(spark, monkeypatch):
-    monkeypatch.setattr(O, "RANK_ALL_VALUES", 0)
+def test_quantiles_of_awkward_doubles(spark):
+    tiny = 5e-324
+    values = [float("inf"), -float("inf"), 0.0, -0.0, 1e300, -1e300, 1.7e308, -1.7e308, tiny, 4 * tiny, 5 * tiny, 1.0, 1.0 + 2 ** -52]
+    values += [2.0 ** -i for i in range(1000)] + [1 + 2.0 ** -i for i in range(52)] + [7.0] * 500
+    df = spark.createDataFrame([(v, -v) for v in values] + [(None, float("nan"))], "v double, w double").repartition(3)
+    n = len(values)
+    probs = [0.0, *[i / (n - 1) for i in (1, 2, 300, 700, 1040, 1300, n - 2)], 1.0]
+    got = {(r["variable"], r["prob"]): r["value"] for r in O.exact_quantiles(df, ["v", "w"], probs).collect()}
+    for name, data in (("v", sorted(values)), ("w", sorted(-v for v in values))):
+        for p in probs:
+            spot = p * (n - 1)
+            low, high = data[int(np.floor(spot))], data[int(np.ceil(spot))]
+            assert min(low, high) <= got[name, p] <= max(low, high)
+
+
+def test_quantiles_of_many_groups_and_columns(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(g), float(a), None if i % 5 == 0 else float(b)) for i, (g, a, b) in enumerate(
+        zip(rng.integers(0, 40, 4000), rng.normal(size=4000), rng.lognormal(sigma=6, size=4000)))]
+    df = spark.createDataFrame(rows, "g int, a double, b double").repartition(4)
+    data = df.toPandas()
+    got = O.exact_quantiles(df, ["a", "b"], [0.1, 0.5, 0.95], ["g"]).collect()
+    assert len(got) == 40 * 2 * 3
+    for r in got:
+        assert r["value"] == pytest.approx(np.nanquantile(data[data.g == r["g"]][r["variable"]].dropna(), r["prob"]))
+
+
+def test_quantiles_of_many_rows_and_heavy_ties(spark):
     rng = np.random.default_rng(1)
     values = np.concatenate([rng.exponential(size=40_000), np.full(20_000, 0.5)])
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
@@ -103,15 +174,18 @@ def test_histogram_of_a_constant_and_total(spark, skewed):
     assert A.histogram(skewed, "v", 7, ["k"]).agg(F.sum("count")).first()[0] == 3002
 
 
-def test_correlation_paths_agree(spark):
+def test_correlation_of_pairwise_complete_rows(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 4))
-    rows = [(*map(float, r[:3]), None if i % 7 == 0 else float(r[3]), 1.0) for i, r in enumerate(x)]
+    x[::7, 3] = np.nan  # half of them as null
+    rows = [(*map(float, r[:3]), None if i % 14 == 0 else float(r[3]), 1.0) for i, r in enumerate(x)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double, flat double")
-    cols = list("abcd") + ["flat"]
-    pairs = [(p, q) for i, p in enumerate(cols) for q in cols[i + 1:]]
-    one = {(r.a, r.b): r.r for r in A._pairs_by_expression(df, pairs).collect()}
-    two = {(r.a, r.b): r.r for r in A._pairs_by_products(df, cols).collect()}
-    assert one.keys() == two.keys()
-    for pair, r in one.items():
-        assert two[pair] is None if r is None else two[pair] == pytest.approx(r)
+    got = {(r.a, r.b): r.r for r in A.corr_matrix(df, [*"abcd", "flat"], "upper").collect()}
+    assert len(got) == 10
+    for (p, q), r in got.items():
+        if "flat" in (p, q):
+            assert r is None
+            continue
+        i, j = "abcd".index(p), "abcd".index(q)
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert r == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1])
