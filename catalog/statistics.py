@@ -156,14 +156,13 @@ def _(t):
     WITH l AS (SELECT 'l_quantity' AS variable, l_quantity AS v FROM lineitem
                UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM lineitem),
     s AS (SELECT variable, min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS bw FROM l GROUP BY 1),
-    b AS (SELECT variable, least(floor((v - lo) / ((hi - lo) / 512)), 511) AS bin, count(*) AS w FROM l JOIN s USING (variable) GROUP BY ALL)
+    w AS (SELECT variable, v, count(*) AS w FROM l GROUP BY ALL)
     SELECT variable, CAST(i AS INTEGER) AS i, round(any_value(lo - 3 * bw + i * (hi - lo + 6 * bw) / 99), 4) AS x,
-      round(sum(w * exp(-pow((lo - 3 * bw + i * (hi - lo + 6 * bw) / 99 - (lo + (bin + 0.5) * (hi - lo) / 512)) / bw, 2) / 2)
-            / (n * bw * sqrt(2 * pi()))), 9) AS density
-    FROM b JOIN s USING (variable), range(100) r(i) GROUP BY variable, i""")
+      round(sum(w * exp(-pow((lo - 3 * bw + i * (hi - lo + 6 * bw) / 99 - v) / bw, 2) / 2)) / any_value(n * bw * sqrt(2 * pi())), 11) AS density
+    FROM w JOIN s USING (variable), range(100) r(i) GROUP BY variable, i""")
 def _(t):
     k = A.kde(t.lineitem, ["l_quantity", "l_extendedprice"])
-    return k.select("variable", "i", F.round("x", 4).alias("x"), F.round("density", 9).alias("density"))
+    return k.select("variable", "i", F.round("x", 4).alias("x"), F.round("density", 11).alias("density"))
 
 
 BOX = """

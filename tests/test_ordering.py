@@ -189,3 +189,20 @@ def test_correlation_of_pairwise_complete_rows(spark):
         i, j = "abcd".index(p), "abcd".index(q)
         both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
         assert r == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1])
+
+
+@pytest.mark.parametrize("bandwidth", ["scott", "nrd0"])
+def test_density_equals_the_kernel_sum_beside_a_far_outlier(spark, bandwidth):
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(size=3000), rng.normal(8, 0.1, 500), [4000.0]])
+    rows = [(float(v), 1.0) for v in values] + [(None, 1.0), (float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "v double, flat double")
+    got = sorted(A.kde(df, ["v", "flat"], 400, bandwidth).collect(), key=lambda r: r["i"])
+    assert {r["variable"] for r in got} == {"v"} and [r["i"] for r in got] == list(range(400))
+    n, sd = len(values), values.std(ddof=1)
+    iqr = np.subtract(*np.quantile(values, [0.75, 0.25]))
+    h = n ** -0.2 * (sd if bandwidth == "scott" else 0.9 * min(sd, iqr / 1.34))
+    x = np.linspace(values.min() - 3 * h, values.max() + 3 * h, 400)
+    want = np.exp(-((x[:, None] - values) / h) ** 2 / 2).sum(axis=1) / (n * h * np.sqrt(2 * np.pi))
+    assert np.allclose([r["x"] for r in got], x)
+    assert np.abs(np.array([r["density"] for r in got]) - want).max() < 1e-9 * want.max() + 1e-15
