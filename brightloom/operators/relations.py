@@ -38,13 +38,28 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 * 1024 * 1024  # of a written table; some five times that in memory
 
 
-def attach(facts: DataFrame, small: DataFrame, on: list[str], limit: int = BROADCAST_ROWS) -> DataFrame:
+def written_bytes(table: DataFrame) -> int:
+    """Size of the files of a table that ``durable`` wrote, empty ones left out."""
+    files = table.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
+
+
+def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on keys that may be hot. `right` is computed once and measured: a small one
+    is broadcast, so `left` stays where it is; for a larger one hot keys are spread by salt."""
+    right = durable(right)
+    if written_bytes(right) <= BROADCAST_BYTES:
+        return left.join(F.broadcast(right), on, how)
+    return salted_join(left, right, on, how)
+
+
+def attach(facts: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
     """Put one row of statistics per group next to every fact row; null is a group.
 
-    `small` is computed once and counted. Up to `limit` rows it is broadcast, so
+    `small` is computed once and measured. Up to BROADCAST_BYTES it is broadcast, so
     the facts are not shuffled; beyond that the facts are spread by salt."""
     small = durable(small)
     if not on:
@@ -52,7 +67,7 @@ def attach(facts: DataFrame, small: DataFrame, on: list[str], limit: int = BROAD
         return facts.withColumns({c: F.lit(row[c]) for c in small.columns})
     renamed = small.withColumnsRenamed({k: f"_on_{k}" for k in on})
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in on])
-    if small.count() <= limit:
+    if written_bytes(small) <= BROADCAST_BYTES:
         joined = facts.join(F.broadcast(renamed), match)
     else:
         spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
@@ -72,7 +87,7 @@ def remove_listed(tokens: DataFrame, stop: list[str] | DataFrame, column: str =
     """Tokens that a word list lacks; nulls stay. A list is a filter where the tokens
     are, a table an anti-join with hot words spread."""
     if isinstance(stop, DataFrame):
-        return salted_join(tokens, stop.select(F.col(stop.columns[0]).alias(column)), [column], "left_anti")
+        return sized_join(tokens, stop.select(F.col(stop.columns[0]).alias(column)), [column], "left_anti")
     return tokens.where(~F.coalesce(F.col(column).isin(list(stop)), F.lit(False)))
 
 
@@ -80,7 +95,7 @@ def match_terms(postings: DataFrame, terms: list[str] | DataFrame, column: str =
     """Postings of the wanted terms. A short list becomes a pushed-down filter."""
     if isinstance(terms, DataFrame):
         wanted = terms.select(F.col(terms.columns[0]).alias(column)).distinct()
-        return salted_join(postings, wanted, [column], "left_semi")
+        return sized_join(postings, wanted, [column], "left_semi")
     return postings.where(F.col(column).isin(list(terms)))
 
 

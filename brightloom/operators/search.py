@@ -1,4 +1,5 @@
-"""Inverted and positional index, ranked and phrase search."""
+"""Inverted and positional index, ranked and phrase search over frames; `stored_index`
+keeps an index on disk."""
 
 from __future__ import annotations
 
@@ -7,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.porter import stem_array
 from ..functions.strings import is_alphabetic, labelled_concat, split_non_word
 from ..functions.wordlists import ENGLISH_STOP_WORDS
-from .relations import docs_with_all, match_terms, phrase_match, salted_join
-from .rows import top_k, top_k_per_group
+from .relations import docs_with_all, match_terms, phrase_match
+from .rows import top_k
 
 
 def positions_of(df: DataFrame, keep: list[str], words: Column, name: str) -> DataFrame:
@@ -49,29 +50,6 @@ def build_positional_index(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
     return tokens.select("term", doc, "pos")
 
 
-def write_index(index: DataFrame, path: str, doc: str = "doc_id", buckets: int = 64) -> None:
-    """Write an index in term buckets. Range partitioning on (bucket, term, doc)
-    lets several tasks share the bucket of a very frequent term, and sorted rows
-    make the parquet statistics on `term` selective."""
-    (index.withColumn("bucket", F.pmod(F.hash("term"), F.lit(buckets)))
-     .repartitionByRange("bucket", "term", doc).sortWithinPartitions("bucket", "term", doc)
-     .write.partitionBy("bucket").parquet(path))
-
-
-def read_index(spark: SparkSession, path: str, terms: list[str] | None = None,
-               buckets: int = 64) -> DataFrame:
-    """Read an index; with `terms`, only their buckets and row groups."""
-    index = spark.read.parquet(path)
-    if terms is not None:
-        wanted = F.array(*[F.lit(t) for t in terms]) if terms else None
-        if wanted is None:
-            return index.where(F.lit(False)).drop("bucket")
-        numbers = [r[0] for r in spark.range(1).select(F.explode(F.transform(
-            wanted, lambda t: F.pmod(F.hash(t), F.lit(buckets))))).distinct().collect()]
-        index = index.where(F.col("bucket").isin(numbers) & F.col("term").isin(list(terms)))
-    return index.drop("bucket")
-
-
 def query_terms(spark: SparkSession, query: str, stop: list[str] | None = None,
                 stem: str | None = None) -> list[str]:
     """Analyse one query string the way the documents were; a query is short, so
@@ -87,21 +65,6 @@ def term_gain(weight: Column, n_docs: Column, df: Column, scheme: str) -> Column
     return tf_part * F.log10(n_docs / df)
 
 
-def search_many(postings: DataFrame, queries: DataFrame, n_docs: int, k: int = 10,
-                query: str = "query_id", doc: str = "doc_id",
-                scheme: str = "reference") -> DataFrame:
-    """Top k documents for a table of analysed queries (query, term); a term that
-    occurs twice in a query counts twice. Ties go to the smaller document key."""
-    asked = queries.groupBy(query, "term").agg(F.count(F.lit(1)).alias("times"))
-    relevant = match_terms(postings, asked.select("term"))
-    df = relevant.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    asked = asked.join(df, "term")
-    hits = salted_join(relevant.select("term", doc, "weight"), asked, ["term"])
-    gain = term_gain(F.col("weight"), F.lit(n_docs), F.col("df"), scheme)
-    scores = hits.groupBy(query, doc).agg(F.sum(gain * F.col("times")).alias("score"))
-    return top_k_per_group(scores, [query], [F.desc(F.round("score", 9)), F.asc(doc)], k)
-
-
 def search_ranked(postings: DataFrame, terms: list[str], n_docs: int, k: int = 10,
                   doc: str = "doc_id", scheme: str = "reference") -> DataFrame:
     """Top k documents for one query. Only postings of its terms are read."""

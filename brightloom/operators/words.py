@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.porter import stem_array
 from ..functions.strings import is_digits, split_whitespace
 from ..functions.wordlists import NEGATION_ENDING, NEGATION_WORDS
-from .relations import remove_listed, salted_join
+from .relations import remove_listed, sized_join
 from .rows import top_k
 from .search import positions_of
 
@@ -91,7 +91,7 @@ def negation_features(tokens: DataFrame, doc: str, negations: list[str] | None =
 
 def pos_features(tokens: DataFrame, doc: str, tags: DataFrame) -> DataFrame:
     """``has(word)_TAG`` for tokens found in a (word, tag) table."""
-    tagged = salted_join(tokens.select(doc, "pos", "word"), tags.select("word", "tag"), ["word"])
+    tagged = sized_join(tokens.select(doc, "pos", "word"), tags.select("word", "tag"), ["word"])
     return (tagged.select(doc, F.concat(F.lit("has("), F.col("word"), F.lit(")_"), F.col("tag"))
                           .alias("feature")).distinct().withColumn("value", F.lit(1.0)))
 
@@ -127,7 +127,7 @@ def sentiment(df: DataFrame, doc: str, cols: list[str], lexicon: DataFrame) -> D
     long = df.select(doc, F.explode(texts).alias("t")).select(doc, "t.field", "t.text")
     words = long.select(doc, "field", F.explode_outer(
         F.split(F.lower("text"), r"[^\p{L}\p{N}_']+")).alias("word"))
-    scored = salted_join(words, lexicon.select("word", "polarity", "subjectivity"), ["word"], "left")
+    scored = sized_join(words, lexicon.select("word", "polarity", "subjectivity"), ["word"], "left")
     means = []
     for c in cols:
         here = F.col("field") == c

@@ -6,7 +6,9 @@ from brightloom.functions import porter
 from brightloom.operators import search as Q, words as W
 from brightloom.operators.ordering import split_ordered
 from brightloom.operators.evaluate import accuracy_of, score
+from brightloom.operators.stored_index import StoredIndex
 from brightloom.plans.reviews import fit_text_classifier, score_error, score_reviews
+from brightloom.runtime import scratch_path
 
 from . import entry
 from .joining import STOP_SQL, tokens_sql
@@ -229,12 +231,30 @@ def _(t):
     return Q.build_positional_index(Q.index_tokens(docs(t), "doc_id", "text"))
 
 
-def stored_index(t, index, doc="doc_id"):
-    """Write an index to the shared folder and hand back its path."""
-    from brightloom.runtime import scratch_path
-    path = scratch_path(t.spark, "index")
-    Q.write_index(index, path, doc)
-    return path
+def new_index(t):
+    """The documents as a stored index in a new folder."""
+    index = StoredIndex(t.spark, scratch_path(t.spark, "index"))
+    index.append(docs(t))
+    return index
+
+
+INDEXES: dict[tuple, StoredIndex] = {}
+
+
+def stored_index(t):
+    """The stored index of a table: searches find the one that an earlier query wrote, as
+    long as the table's files are the same ones."""
+    files = t.documents.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    key = (t.spark.sparkContext.applicationId, *sorted(map(str, files.collect())))
+    if key not in INDEXES:
+        INDEXES[key] = new_index(t)
+    return INDEXES[key]
+
+
+@entry("t11_stored_index", f"""
+    SELECT term, count(DISTINCT doc_id) AS df, count(*) AS occurrences FROM ({tokens_sql('documents')}) GROUP BY term""")
+def _(t):
+    return new_index(t).statistics()
 
 
 QUERY = "les ndre est les thon"
@@ -247,10 +267,7 @@ QUERY = "les ndre est les thon"
     SELECT doc_id, round(sum(times * (1 + ln(weight)) * log10((SELECT count(*) FROM documents) / df)), 6) AS score
     FROM p JOIN q USING (term) JOIN d USING (term) GROUP BY doc_id ORDER BY round(sum(times * (1 + ln(weight)) * log10((SELECT count(*) FROM documents) / df)), 9) DESC, doc_id LIMIT 10""")
 def _(t):
-    terms = Q.query_terms(t.spark, QUERY)
-    path = stored_index(t, Q.build_index(Q.index_tokens(docs(t), "doc_id", "text")))
-    hits = Q.search_ranked(Q.read_index(t.spark, path, terms), terms, t.documents.count())
-    return hits.withColumn("score", F.round("score", 6))
+    return stored_index(t).search(QUERY).withColumn("score", F.round("score", 6))
 
 
 @entry("t14_phrase_search", f"""
@@ -258,9 +275,7 @@ def _(t):
     SELECT DISTINCT a.doc_id FROM tok a JOIN tok b ON b.doc_id = a.doc_id AND b.pos = a.pos + 1
       JOIN tok c ON c.doc_id = a.doc_id AND c.pos = a.pos + 2 WHERE a.term = 'de' AND b.term = 'la' AND c.term = 'de'""")
 def _(t):
-    terms = Q.query_terms(t.spark, "De la, DE")
-    path = stored_index(t, Q.build_positional_index(Q.index_tokens(docs(t), "doc_id", "text")))
-    return Q.search_phrase(Q.read_index(t.spark, path, terms), terms)
+    return stored_index(t).phrase("De la, DE")
 
 
 @entry("t15_search_scope", f"""
@@ -280,7 +295,4 @@ def _(t):
     SELECT item_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s) WHERE rank <= 10""")
 def _(t):
-    postings = Q.build_index(Q.index_tokens(docs(t), "doc_id", "text"))
-    queries = Q.index_tokens(t.benchmark, "item_id", "text")
-    hits = Q.search_many(postings, queries, t.documents.count(), 10, "item_id")
-    return hits.withColumn("score", F.round("score", 6))
+    return stored_index(t).search_many(t.benchmark, "item_id").withColumn("score", F.round("score", 6))

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brightloom.operators import ordering as O, stats as A
-from brightloom.operators.relations import attach, salted_join
+from brightloom.operators import ordering as O, relations, stats as A
+from brightloom.operators.relations import attach, salted_join, sized_join
 
 
 @pytest.fixture(scope="module")
@@ -132,11 +132,15 @@ def test_quantiles_of_one_row_and_of_none(spark):
     assert O.exact_quantiles(one.where("v < 0"), ["v"], [0.5]).count() == 0
 
 
-def test_attach_gives_the_same_rows_beyond_the_broadcast_limit(skewed):
+def test_joins_give_the_same_rows_beyond_the_broadcast_limit(skewed, monkeypatch):
     counts = skewed.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    small = attach(skewed, counts, ["k"]).orderBy("id").collect()
-    large = attach(skewed, counts, ["k"], limit=0).orderBy("id").collect()
-    assert small == large and len(large) == 3002
+    attached, joined = [], []
+    for limit in (relations.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(relations, "BROADCAST_BYTES", limit)
+        attached.append(attach(skewed, counts, ["k"]).orderBy("id").collect())
+        joined.append(sized_join(skewed, counts, ["k"]).orderBy("id").collect())
+    assert attached[0] == attached[1] and len(attached[0]) == 3002
+    assert joined[0] == joined[1] and len(joined[0]) == 3000
 
 
 def test_salted_join_equals_plain_join(spark, skewed):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators import search as Q, words as W
 from brightloom.operators.relations import docs_with_all, phrase_match
+from brightloom.operators.stored_index import StoredIndex
 
 
 @pytest.fixture(scope="module")
@@ -46,21 +47,68 @@ def test_phrases(tokens):
     assert phrase_match(tokens, ["pay", "pay", "pay"]).count() == 0
 
 
-def test_many_queries_agree_with_single_ones(tokens, spark):
+@pytest.fixture(scope="module")
+def stored(spark, docs, tmp_path_factory):
+    """The documents in two generations."""
+    index = StoredIndex(spark, str(tmp_path_factory.mktemp("stored")), buckets=8)
+    index.append(docs.where("doc_id < 3"))
+    index.append(docs.where("doc_id >= 3"))
+    return index
+
+
+def test_stored_index_of_two_generations_searches_like_one(stored, tokens):
     index = Q.build_index(tokens)
+    for words in ("pay good pay", "team", "pay zebra", "zebra", "the"):
+        terms = stored.analyse(words)
+        want = [(r.doc_id, pytest.approx(r.score)) for r in Q.search_ranked(index, terms, 4).collect()]
+        assert [(r.doc_id, r.score) for r in stored.search(words).collect()] == want
+    assert [r.doc_id for r in stored.search("pay good", scheme="standard").collect()] == [1, 2, 3]
+    assert {r.term: (r.df, r.occurrences) for r in stored.statistics().collect()} == {"pay": (2, 3), "good": (2, 2), "team": (2, 2)}
+    for words in ("good team", "team good", "pay pay", "pay pay pay", "pay", "pay zebra", "of"):
+        want = sorted(r.doc_id for r in Q.search_phrase(tokens, stored.analyse(words)).collect())
+        assert sorted(r.doc_id for r in stored.phrase(words).collect()) == want
+
+
+def test_many_queries_agree_with_single_ones(stored, spark):
     queries = spark.createDataFrame([(7, "pay good pay"), (8, "team"), (9, "zebra")], "query_id long, text string")
-    many = Q.search_many(index, Q.index_tokens(queries, "query_id", "text"), 4, 2).collect()
-    assert [(r.doc_id, r.rank) for r in many if r.query_id == 8] == [(2, 1), (3, 2)]
-    single = [r.doc_id for r in Q.search_ranked(index, ["pay", "good", "pay"], 4, 2).collect()]
-    assert [r.doc_id for r in sorted(many, key=lambda r: r["rank"]) if r.query_id == 7] == single
-
-
-def test_stored_index_reads_only_its_terms(tokens, spark, tmp_path):
-    path = str(tmp_path / "index")
-    Q.write_index(Q.build_index(tokens), path, buckets=4)
-    assert {r.term for r in Q.read_index(spark, path, ["pay"], buckets=4).collect()} == {"pay"}
-    assert Q.read_index(spark, path).count() == 6
-    assert Q.read_index(spark, path, []).count() == 0
+    many = stored.search_many(queries, k=2).collect()
+    assert {r.query_id for r in many} == {7, 8}
+    for key, words in ((7, "pay good pay"), (8, "team")):
+        got = [(r.doc_id, r.score) for r in sorted(many, key=lambda r: r["rank"]) if r.query_id == key]
+        assert got == [(r.doc_id, pytest.approx(r.score)) for r in stored.search(words, 2).collect()]
+
+
+def test_searches_read_only_the_buckets_of_their_terms(stored):
+    files = stored.search("pay").inputFiles()
+    assert files and {f.split("bucket=")[1].split("/")[0] for f in files} >= set(map(str, stored._buckets_of(["pay"])))
+    plan = stored.search("pay")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "positions" not in plan
+
+
+def test_a_failed_generation_is_not_seen_and_compaction_changes_nothing(stored, docs, spark, monkeypatch):
+    index = StoredIndex(spark, stored.path, buckets=8)
+    before = [tuple(r) for r in index.search("pay good team").collect()]
+
+    class Torn(Exception):
+        pass
+
+    with monkeypatch.context() as patched:
+        def fail(*_, **__):
+            raise Torn
+
+        patched.setattr(type(spark), "createDataFrame", fail)
+        with pytest.raises(Torn):
+            index.append(docs.selectExpr("doc_id + 10 AS doc_id", "text"))
+    assert index.n_docs() == 4 and [tuple(r) for r in index.search("pay good team").collect()] == before
+    index.compact()
+    assert len(index.live()) == 1 and index.n_docs() == 4
+    assert [tuple(r) for r in index.search("pay good team").collect()] == before
+
+
+def test_no_index_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError):
+        StoredIndex(spark, str(tmp_path / "none")).search("pay")
 
 
 def test_negation_scores_and_last_position(spark):
