@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.values import bin_score, overall_score
 from ..operators.evaluate import mape_of
-from ..operators.words import sentiment
+from ..operators.maxent import MaxentModel, fit_maxent
+from ..operators.words import extract_features, sentiment
 
 
 def score_reviews(reviews: DataFrame, key: str, texts: list[str], lexicon: DataFrame) -> DataFrame:
@@ -30,15 +30,11 @@ def score_error(scored: DataFrame, ratings: DataFrame, key: str, rating: str,
         mape_of("_rating", "stars").alias("mape"), F.count(F.lit(1)).alias("reviews"))
 
 
-def text_classifier(features: str = "features", label: str = "label",
-                    max_iter: int = 25, buckets: int = 1 << 18) -> Pipeline:
-    """Maximum-entropy classifier on presence features. Features are hashed, so no
-    vocabulary has to fit on the driver."""
-    hashed = HashingTF(inputCol=features, outputCol="hashed", binary=True, numFeatures=buckets)
-    model = LogisticRegression(featuresCol="hashed", labelCol=label, maxIter=max_iter)
-    return Pipeline(stages=[hashed, model])
-
-
-def fit_text_classifier(df: DataFrame, features: str = "features", label: str = "label",
-                        max_iter: int = 25, buckets: int = 1 << 18) -> PipelineModel:
-    return text_classifier(features, label, max_iter, buckets).fit(df)
+def fit_text_classifier(texts: DataFrame, doc: str, text: str, label: str, n: int = 3, rounds: int = 25,
+                        **options) -> tuple[MaxentModel, Callable[[DataFrame], DataFrame]]:
+    """Maximum-entropy classifier on all feature families of a text: n-grams, negation
+    values and, with a table of tags, parts of speech. Returns the model and a function
+    that adds (prediction, probability) to a table of texts."""
+    bag = lambda df: extract_features(df, doc, text, n, **options)
+    model = fit_maxent(bag(texts), texts.select(doc, label), doc, label, rounds)
+    return model, lambda df: df.join(model.predict(bag(df)), doc, "left")
