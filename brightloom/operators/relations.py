@@ -83,6 +83,36 @@ def flag_interval(facts: DataFrame, bounds: DataFrame, fact_key: str, bound_key:
     return joined.withColumn(out, within_interval(value, low, high))
 
 
+def interval_join(points: DataFrame, intervals: DataFrame, value: str, low: str, high: str,
+                  on: list[str] = (), width: float = 1.0) -> DataFrame:
+    """Pairs of a point and each closed interval that holds it, both sides' columns side
+    by side (keys in `on` once). Any number of intervals may share a key and overlap.
+
+    An interval goes to the level at which a cell, `width` doubled as often as needed, is
+    at least as long as it is, so it lies in one or two cells however long it is. A point
+    goes to its cell of every level that intervals use, which are few. Then keys, level
+    and cell are joined by equality and the ends are tested exactly. Points of a busy cell
+    are spread by salt where the intervals are too many to broadcast. Nulls and NaN match
+    nothing; an interval that ends before it begins is empty. `width` affects only speed:
+    about the length of the shorter intervals is best."""
+    on = list(on)
+    v, lo, hi = (F.col(c).cast("double") for c in (value, low, high))
+    log = F.log2((hi - lo) / width)
+    level = F.when(hi - lo <= width, 0).otherwise(F.ceil(log)).cast("int")
+    size = F.lit(float(width)) * F.pow(F.lit(2.0), F.col("_level"))
+    usable = (lo <= hi) & ~F.isnan(hi)
+    sides = (intervals.where(F.coalesce(usable, F.lit(False))).withColumn("_level", level)
+             .withColumn("_cells", F.array_distinct(F.array(F.floor(lo / size), F.floor(hi / size))))
+             .withColumn("_cell", F.explode("_cells")).drop("_cells"))
+    sides = durable(sides)
+    levels = sorted(r[0] for r in sides.select("_level").distinct().collect())  # at most one per power of two
+    known = points.where(v.isNotNull() & ~F.isnan(v))
+    placed = known.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))).withColumn(
+        "_cell", F.floor(v / size))
+    joined = sized_join(placed, sides, [*on, "_level", "_cell"])
+    return joined.where((v >= lo) & (v <= hi)).drop("_level", "_cell")
+
+
 def remove_listed(tokens: DataFrame, stop: list[str] | DataFrame, column: str = "word") -> DataFrame:
     """Tokens that a word list lacks; nulls stay. A list is a filter where the tokens
     are, a table an anti-join with hot words spread."""

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.porter import stem_array
+from ..functions.porter import stem_array, stem_vocabulary
 from ..functions.strings import is_alphabetic, labelled_concat, split_non_word
 from ..functions.wordlists import ENGLISH_STOP_WORDS
-from .relations import docs_with_all, match_terms, phrase_match
+from .relations import docs_with_all, match_terms, phrase_match, sized_join
 from .rows import top_k
 
 
@@ -21,21 +21,31 @@ def positions_of(df: DataFrame, keep: list[str], words: Column, name: str) -> Da
             .where(F.col("pos").isNotNull()))
 
 
-def index_tokens(df: DataFrame, doc: str, text: str, stop: list[str] | None = None,
-                 stem: str | None = None) -> DataFrame:
-    """(doc, pos, term): split at non-words, keep alphabetic words longer than one
-    letter, lower-case, drop stop words, stem. Positions count kept words only.
-    Everything happens within the row, so there is no shuffle."""
+def stem_tokens(tokens: DataFrame, column: str, algorithm: str) -> DataFrame:
+    """`column` replaced by its stem. The rules run on distinct words only; the stems come
+    back by a join that spreads frequent words."""
+    stems = stem_vocabulary(tokens, column, algorithm)
+    return (sized_join(tokens, stems, [column], "left").withColumn(column, F.col("stem"))
+            .select(*tokens.columns))
+
+
+def _terms(text: str, stop: list[str] | None) -> Column:
     stop = ENGLISH_STOP_WORDS if stop is None else stop
     wordy = lambda w: is_alphabetic(w) & (F.length(w) > 1)
     if stop:
         kept = F.filter(split_non_word(text), lambda w: wordy(w) & ~F.lower(w).isin(list(stop)))
     else:
         kept = F.filter(split_non_word(text), wordy)
-    terms = F.transform(kept, F.lower)
-    if stem:
-        terms = stem_array(terms, stem)
-    return positions_of(df, [doc], terms, "term")
+    return F.transform(kept, F.lower)
+
+
+def index_tokens(df: DataFrame, doc: str, text: str, stop: list[str] | None = None,
+                 stem: str | None = None) -> DataFrame:
+    """(doc, pos, term): split at non-words, keep alphabetic words longer than one
+    letter, lower-case, drop stop words, stem. Positions count kept words only.
+    Without stems everything happens within the row; stems are looked up by word."""
+    tokens = positions_of(df, [doc], _terms(text, stop), "term")
+    return stem_tokens(tokens, "term", stem) if stem else tokens
 
 
 def build_index(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -55,7 +65,8 @@ def query_terms(spark: SparkSession, query: str, stop: list[str] | None = None,
     """Analyse one query string the way the documents were; a query is short, so
     its terms come to the driver and can be pushed into the scan."""
     row = spark.range(1).select(F.lit(0).alias("doc_id"), F.lit(query).alias("text"))
-    return [r["term"] for r in index_tokens(row, "doc_id", "text", stop, stem).orderBy("pos").collect()]
+    terms = _terms("text", stop)
+    return list(row.select((stem_array(terms, stem) if stem else terms).alias("terms")).first()["terms"])
 
 
 def term_gain(weight: Column, n_docs: Column, df: Column, scheme: str) -> Column:

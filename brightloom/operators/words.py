@@ -9,7 +9,7 @@ from ..functions.strings import is_digits, split_whitespace
 from ..functions.wordlists import NEGATION_ENDING, NEGATION_WORDS
 from .relations import remove_listed, sized_join
 from .rows import top_k
-from .search import positions_of
+from .search import positions_of, stem_tokens
 
 
 def _letters_only(text: Column) -> Column:
@@ -40,6 +40,12 @@ def plain_tokens(text: Column | str, stem: str | None = None) -> Column:
     return stem_array(words, stem) if stem else words
 
 
+def word_tokens(df: DataFrame, doc: str, text: str, stem: str | None = None) -> DataFrame:
+    """(doc, pos, word): the words of ``plain_tokens`` as rows; stems are looked up by word."""
+    tokens = positions_of(df, [doc], plain_tokens(text), "word")
+    return stem_tokens(tokens, "word", stem) if stem else tokens
+
+
 def ngrams(tokens: Column, n: int) -> Column:
     """All runs of n neighbouring tokens, comma-joined."""
     last = F.size(tokens) - n

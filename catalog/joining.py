@@ -55,6 +55,17 @@ def _(t):
             .select("event_id", "daylight"))
 
 
+@entry("j03_interval_join", """
+    SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey
+      AND c_acctbal BETWEEN s_acctbal - 300 AND s_acctbal + 900""")
+def _(t):
+    """Customers whose balance lies in the band around a supplier of their nation."""
+    bands = t.supplier.select(F.col("s_nationkey").alias("nation"), "s_suppkey", (F.col("s_acctbal") - 300).alias("low"),
+                              (F.col("s_acctbal") + 900).alias("high"))
+    points = t.customer.select(F.col("c_nationkey").alias("nation"), "c_custkey", "c_acctbal")
+    return J.interval_join(points, bands, "c_acctbal", "low", "high", ["nation"], 1000.0).select("c_custkey", "s_suppkey")
+
+
 @entry("j04_remove_listed", f"""
     SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS word FROM documents)
     WHERE word NOT IN {STOP_SQL} AND word NOT IN (SELECT lower(p_name) FROM part UNION ALL SELECT lang FROM documents)

@@ -21,7 +21,7 @@ def docs(t):
 
 @entry("t01_analyzer_a", f"SELECT doc_id, pos, word FROM ({CLEAN.format(text='text', table='documents')})")
 def _(t):
-    return Q.positions_of(docs(t), ["doc_id"], W.plain_tokens("text"), "word")
+    return W.word_tokens(docs(t), "doc_id", "text")
 
 
 @entry("t02_analyzer_b", tokens_sql("documents"))
@@ -92,6 +92,21 @@ def _(t):
     return porter.stem_vocabulary(tokens, algorithm="snowball")
 
 
+@entry("t01_analyzer_a_stemmed", f"""
+    WITH tok AS ({CLEAN.format(text='lower(text)', table='documents')}), stems AS ({_porter_sql(
+        "SELECT DISTINCT word FROM (" + CLEAN.format(text='lower(text)', table='documents') + ")")})
+    SELECT doc_id, pos, stem AS word FROM tok JOIN stems USING (word)""")
+def _(t):
+    return W.word_tokens(docs(t).withColumn("text", F.lower("text")), "doc_id", "text", stem="porter")
+
+
+@entry("t02_analyzer_b_stemmed", f"""
+    WITH tok AS ({tokens_sql('documents')}), stems AS ({_porter_sql(VOCABULARY)})
+    SELECT doc_id, pos, stem AS term FROM tok JOIN stems ON word = term""")
+def _(t):
+    return Q.index_tokens(docs(t), "doc_id", "text", stem="porter")
+
+
 TURNS = '(SELECT conv_id * 100 + turn AS doc_id, text FROM conversations)'
 NGRAMS = f"""
     WITH w AS ({CLEAN.format(text='text', table=TURNS)})

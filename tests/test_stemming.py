@@ -55,3 +55,20 @@ def test_porter_words(spark):
 def test_english_snowball_words(spark):
     wrong = differences(spark, SNOWBALL, "snowball")
     assert wrong == []
+
+
+def test_stems_by_word_equal_stems_in_the_row(spark):
+    from pyspark.sql import functions as F
+
+    from brightloom.functions.porter import stem_array
+    from brightloom.operators import search as Q, words as W
+
+    df = spark.createDataFrame([(1, "Hopping ponies, hopping 2 ponies relational"), (2, None), (3, "The cats' caresses")], "id long, text string")
+    for algorithm in ("porter", "snowball"):
+        got = sorted((r.id, r.pos, r.term) for r in Q.index_tokens(df, "id", "text", stem=algorithm).collect())
+        plain = Q.index_tokens(df, "id", "text").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda x: x.term).alias("w"))
+        want = sorted((r.id, i, w) for r in plain.select("id", stem_array("w", algorithm).alias("w")).collect() for i, w in enumerate(r.w))
+        assert got == want and got
+    assert Q.query_terms(spark, "Hopping ponies", stem="porter") == ["hop", "poni"]
+    words = [(r.pos, r.word) for r in W.word_tokens(df.where("id = 3"), "id", "text", "porter").orderBy("pos").collect()]
+    assert [w for _, w in words] == ["the", "cat", "caress"]

@@ -116,3 +116,38 @@ def test_panes_equal_direct_windows_when_the_slide_does_not_divide_the_size(spar
     direct = C.windowed_counts(df, "ts", "50 seconds", "30 seconds")
     panes = C.pane_counts(df, "ts", "50 seconds", "30 seconds")
     assert sorted(map(str, C.window_bounds(direct).collect())) == sorted(map(str, C.window_bounds(panes).collect()))
+
+
+def test_log_records_batches_late_rows_and_failures(spark, tmp_path):
+    from brightloom.streaming.progress import ProgressLog
+
+    folder, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+    folder.mkdir()
+    start = dt.datetime(2024, 1, 1)
+
+    def counts():
+        rows = read_lines_stream(spark, "parquet", str(folder), schema=spark.createDataFrame([], "ts timestamp, word string").schema)
+        return C.window_bounds(C.windowed_counts(C.with_late(rows, "ts", "1 hour"), "ts", "1 hour"))
+
+    def deliver(hours):
+        spark.createDataFrame([(start + dt.timedelta(hours=h), "a") for h in hours], "ts timestamp, word string").write.mode("append").parquet(str(folder))
+
+    def fail(batch, number):
+        raise OSError("full")
+
+    with ProgressLog(spark) as log:
+        deliver([0, 1, 10])
+        K.run_available(counts(), K.parquet_batches(out), "append", progress)
+        deliver([2, 9.5, 20])  # the watermark stands at nine o'clock
+        K.run_available(counts(), K.parquet_batches(out), "append", progress)
+        query = K.foreach_batch_sink(counts(), fail, str(tmp_path / "other"), "append")
+        with pytest.raises(Exception, match="full"):
+            query.awaitTermination()
+        log.settle(query)
+    rows = log.table().collect()
+    assert sum(r.input_rows or 0 for r in rows if r.query != str(query.id)) == 6
+    assert sum(r.dropped_rows or 0 for r in rows) == 1
+    assert [("full" in r.error) for r in rows if r.event == "ended" and r.error] == [True]
+    assert sum(r.event == "started" for r in rows) == 3
+    got = {r.window_start.hour + 24 * (r.window_start.day - 1): r.n for r in K.read_batches(spark, out).collect()}
+    assert got == {0: 1, 1: 1, 9: 1, 10: 1}
