@@ -113,27 +113,87 @@ def _solve(table: np.ndarray, penalty: float, kind: str) -> np.ndarray:
         return np.linalg.lstsq(xx, xy, rcond=None)[0]
     if kind == "ridge":
         return np.linalg.solve(xx + penalty * np.eye(len(xy)), xy)
-    return _lasso([table], [penalty])[0, 0]
-
-
-def _lasso(tables: list[np.ndarray], penalties: list[float]) -> np.ndarray:
-    """Coordinate descent on (1/2n)|y - Xb|² + penalty |b| for all tables and
-    penalties side by side; coefficients by (table, penalty, feature)."""
-    parts = [_centred(t) for t in tables]
-    n = np.array([part[0] for part in parts])
-    xx, xy = np.stack([part[2] for part in parts]), np.stack([part[3] for part in parts])
-    limit = n[:, None] * np.array(penalties)[None, :]
-    beta = np.zeros((len(tables), len(penalties), xy.shape[1]))
-    for _ in range(1000):
-        before = beta.copy()
-        for j in range(beta.shape[2]):
-            scale = xx[:, j, j][:, None]
-            rho = xy[:, j][:, None] - (xx[:, None, j, :] * beta).sum(axis=2) + scale * beta[:, :, j]
-            shrunk = np.sign(rho) * np.maximum(np.abs(rho) - limit, 0.0)
-            beta[:, :, j] = np.where(scale > 0, shrunk / np.where(scale > 0, scale, 1.0), 0.0)
-        if np.abs(beta - before).max() <= 1e-7 * np.abs(beta).max(initial=0.0):
+    return _lasso(table, [penalty])[0]
+
+
+#: A feature is left out where the others explain all but this part of its variance.
+DEPENDENT = 1e-9
+
+
+def _lasso(table: np.ndarray, penalties: list[float]) -> np.ndarray:
+    """Minimum of (1/2n)|y - Xb|² + penalty |b| for each penalty, by (penalty, feature).
+
+    Follows the exact solution as the penalty falls from where it is zero (homotopy, as in
+    least angle regression): between two knots the same features are in with the same
+    signs, and their coefficients solve one linear system. A knot is where a feature comes
+    in (its correlation with the residual reaches the penalty) or goes out (its coefficient
+    reaches zero). A feature that depends
+    linearly on those that are in stays out. A result that misses the optimality conditions is an error."""
+    n, _, xx, xy, _ = _centred(table)
+    usable = np.diag(xx) > 0
+    scale = np.sqrt(np.where(usable, np.diag(xx) / n, 1.0))
+    # In units of each feature's deviation: beta times scale, and the penalty is `at * weight`.
+    gram, target, weight = xx / n / np.outer(scale, scale), np.where(usable, xy / n / scale, 0.0), 1.0 / scale
+    order = sorted(set(penalties), reverse=True)
+    found: dict[float, np.ndarray] = {}
+    active: list[int] = []
+    signs = np.zeros(len(xy))
+    barred: set[int] = set()  # depend on the active ones
+    dependent: set[int] = set()  # ever did
+    moved = (-1, 0.0)  # the feature of the last knot and its sign: on the piece that begins there it can't turn back
+
+    def pieces() -> tuple[np.ndarray, np.ndarray]:
+        """beta = whole + at * slope until the next knot."""
+        whole, slope = np.zeros(len(xy)), np.zeros(len(xy))
+        if active:
+            both = np.column_stack([target[active], -weight[active] * signs[active]])
+            whole[active], slope[active] = np.linalg.solve(gram[np.ix_(active, active)], both).T
+        return whole, slope
+
+    penalty = np.inf
+    while True:
+        whole, slope = pieces()
+        base, lean = target - gram @ whole, -gram @ slope
+        knot, event = 0.0, None
+        for j in np.flatnonzero(usable):
+            if j in active:
+                at = -whole[j] / slope[j] if slope[j] and j != moved[0] else -1.0
+                if knot < at < penalty:
+                    knot, event = at, ("out", j, 0.0)
+            elif j not in barred:
+                for sign in (1.0, -1.0):  # sign * (base + at * lean) = at * weight
+                    steep = weight[j] - sign * lean[j]
+                    at = sign * base[j] / steep if abs(steep) > 1e-14 * weight[j] else -1.0
+                    if knot < at <= penalty and (j, sign) != moved:
+                        knot, event = at, ("in", j, sign)
+        while order and order[0] >= knot:
+            found[order[0]] = whole + order[0] * slope
+            order.pop(0)
+        if event is None or not order:
             break
-    return beta
+        kind, j, sign = event
+        if kind == "out":
+            active.remove(j)
+            moved = j, signs[j]
+            barred.clear()
+        else:
+            inside = gram[np.ix_(active, active)]
+            rest = 1.0 - gram[j, active] @ np.linalg.solve(inside, gram[active, j]) if active else 1.0
+            if rest <= DEPENDENT:
+                barred.add(j)
+                dependent.add(j)
+                continue
+            active.append(j)
+            moved = j, sign
+        signs[j], penalty = sign, knot
+    for at, beta in found.items():
+        steep = target - gram @ beta
+        loose = 1e-6 * at * weight + 1e-7 * np.abs(target).max(initial=0.0)
+        wrong = np.where(beta != 0, np.abs(steep - at * weight * np.sign(beta)), np.abs(steep) - at * weight) > loose
+        wrong[list(dependent)] = False
+        if wrong[usable].any():
+            raise ArithmeticError(f"lasso has no stable solution at penalty {at}")
+    return np.array([found[p] / scale for p in penalties]).reshape(len(penalties), len(xy))
 
 
 def _model(moments: Moments, table: np.ndarray, beta: np.ndarray, penalty: float) -> LinearModel:
@@ -157,13 +217,20 @@ def fit_ols(df: DataFrame, features: list[str], label: str) -> LinearModel:
     return _model(moments, table, _solve(table, 0.0, "ols"), 0.0)
 
 
+def fit_lasso(df: DataFrame, features: list[str], label: str, penalties: list[float]) -> list[LinearModel]:
+    """A model per penalty, all points of one path."""
+    moments = collect_moments(df, features, label)
+    table = moments.total()
+    return [_model(moments, table, beta, p) for p, beta in zip(penalties, _lasso(table, penalties))]
+
+
 def _fit_cv(df: DataFrame, features: list[str], label: str, penalties: list[float], kind: str,
             keys: list[str], folds: int, seed: int) -> LinearModel:
     moments = collect_moments(df, features, label, bucket_of(keys, folds, seed))
     scores: dict[float, list[float]] = {p: [] for p in penalties}
     for fold, held_out in moments.tables.items():
         table = moments.total(without=fold)
-        betas = (_lasso([table], penalties)[0] if kind == "lasso"
+        betas = (_lasso(table, penalties) if kind == "lasso"
                  else [_solve(table, p, kind) for p in penalties])
         for p, beta in zip(penalties, betas):
             scores[p].append(_error(table, held_out, beta))

@@ -189,6 +189,18 @@ def _(t):
     return coefficients(t, M.fit_ridge_cv(priced(t), FEATURES, "price", KEYS))
 
 
+@entry("m13_lasso_one_feature", """
+    WITH s AS (SELECT covar_pop(l_quantity, l_extendedprice) AS xy, var_pop(l_quantity) AS xx, avg(l_quantity) AS mx, avg(l_extendedprice) AS my FROM lineitem),
+    b AS (SELECT p, sign(xy) * greatest(abs(xy) - p, 0) / xx AS beta, mx, my FROM s, (VALUES (10.0::DOUBLE), (1000.0), (100000.0), (10000000.0)) v(p))
+    SELECT p AS penalty, round(beta, 4) + 0.0 AS slope, round(my - beta * mx, 3) AS intercept FROM b""")
+def _(t):
+    penalties = [10.0, 1e3, 1e5, 1e7]
+    rows = [(p, float(m.coefficients[0]), m.intercept) for p, m in
+            zip(penalties, M.fit_lasso(priced(t), ["quantity"], "l_extendedprice", penalties))]
+    fits = t.spark.createDataFrame(rows, "penalty double, slope double, intercept double")
+    return fits.select("penalty", (F.round("slope", 4) + 0.0).alias("slope"), F.round("intercept", 3).alias("intercept"))
+
+
 @entry("m13_lasso")
 def _(t):
     return coefficients(t, M.fit_lasso_cv(priced(t), FEATURES, "price", KEYS))

@@ -168,3 +168,38 @@ def test_grid_search_prefers_the_deeper_tree(spark):
     df = spark.createDataFrame([(i, float(i % 10), float((i % 10) ** 2)) for i in range(200)], "id long, x double, y double")
     found = M.grid_search(M.decision_tree(), [{"maxDepth": 1}, {"maxDepth": 4}], M.assemble(df, ["x"], "y"), ["id"], folds=2)
     assert found.best == {"maxDepth": 4} and found.validation_r2 > 0.95 and found.train_r2 > 0.95
+
+
+def _table(x, y):
+    m = np.column_stack([np.ones(len(y)), x - x.mean(axis=0), y - y.mean()])
+    return m.T @ m
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_lasso_meets_the_optimality_conditions_at_every_penalty(seed):
+    rng = np.random.default_rng(seed)
+    n, k = 80, int(rng.integers(1, 12))
+    x = rng.normal(size=(n, k)) * 10 ** rng.uniform(-2, 3, k)
+    if seed % 3 == 0:
+        x = x + x.sum(axis=1, keepdims=True)
+    if seed % 4 == 0:
+        x[:, 0] = 7.0  # constant
+    y = x @ (rng.normal(size=k) * (rng.random(k) < 0.5)) + rng.normal(size=n)
+    penalties = [*(10 ** np.linspace(2, -4, 40)), 0.0]
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    for p, beta in zip(penalties, M._lasso(_table(x, y), penalties)):
+        steep = xc.T @ (yc - xc @ beta) / n
+        slack = 1e-6 * np.abs(xc.T @ yc / n).max()
+        assert (np.abs(steep) <= p + slack).all()
+        assert np.abs(steep - p * np.sign(beta))[beta != 0].max(initial=0.0) <= slack
+
+
+def test_lasso_of_nearly_equal_features_reaches_the_end_of_its_path():
+    rng = np.random.default_rng(0)
+    a = rng.normal(size=500)
+    b = a + 1e-3 * rng.normal(size=500)
+    betas = M._lasso(_table(np.column_stack([a, b]), 2.63 * a - 1.63 * b), [1e-5, 1e-9, 0.0])
+    assert betas[0] == pytest.approx([1.0, 0.0], abs=1e-3)  # too close to tell at this penalty
+    assert betas[2] == pytest.approx([2.63, -1.63], abs=1e-6)
+    same = M._lasso(_table(np.column_stack([a, a, 2 * a]), 3 * a), [0.1, 1e-5])
+    assert (same @ [1, 1, 2]) == pytest.approx([3.0, 3.0], abs=0.06)
