@@ -125,17 +125,20 @@ def chi2_tail(x: Column, df: int) -> Column:
 
 
 def normal_tail(z: Column) -> Column:
-    """1 - Φ(z) for z >= 0: rational approximation with error below 1.2e-7 relative
-    (complementary error function by Chebyshev fit)."""
-    # fixed values: coefficients of the fit
-    fit = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807,
-           -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-    a = z / math.sqrt(2.0)
-    t = 1 / (1 + a / 2)
-    poly = F.lit(fit[-1])
-    for c in reversed(fit[:-1]):
-        poly = poly * t + c
-    return t * F.exp(-a * a + poly) / 2
+    """1 - Φ(z) for z >= 0. Up to 5 from the series of the error function, whose terms are
+    all positive; beyond, from its continued fraction."""
+    x = z / math.sqrt(2.0)
+    step = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def add(state: Column, n: Column) -> Column:
+        term = state["term"] * 2 * x * x / (2 * n + 1)
+        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
+
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(120)), step, add, lambda state: state["total"])
+    near = 0.5 - F.exp(-x * x) * x * series / math.sqrt(math.pi)
+    fraction = F.aggregate(F.sequence(F.lit(60), F.lit(1)), z, lambda rest, n: z + n / rest)
+    far = F.exp(-z * z / 2) / fraction / math.sqrt(2 * math.pi)
+    return F.when(z < 5, near).otherwise(far)
 
 
 def box_test(acf_table: DataFrame, keys: list[str], lags: list[int], kind: str = "box-pierce") -> DataFrame:

@@ -7,7 +7,7 @@ from brightloom.operators.evaluate import error_frame
 from brightloom.plans.earnings import MODELS, both_schemes, compare_models
 
 from . import entry
-from .sequences import ACF, SERIES, frames, frames_sql, quarters
+from .sequences import ACF, LAGS, MONTHLY, SERIES, frames, frames_sql, months, quarters
 
 
 @entry("y01_log_series", f"""
@@ -51,16 +51,19 @@ def _(t):
     return compare_models(quarters(t), ["nation"], MODELS, n_test=8)
 
 
-AR1 = f"""
-    WITH s AS ({SERIES}), u AS (SELECT *, y - lag(y, 4) OVER (PARTITION BY nation ORDER BY t) AS u FROM s),
+def ar1_sql(frames, series=MONTHLY, s=12):
+    return f"""
+    WITH s AS ({series}), u AS (SELECT *, y - lag(y, {s}) OVER (PARTITION BY nation ORDER BY t) AS u FROM s),
     w AS (SELECT *, u - lag(u) OVER (PARTITION BY nation ORDER BY t) AS w FROM u),
-    p AS (SELECT *, lag(w, 4) OVER (PARTITION BY nation ORDER BY t) AS ws FROM w),
-    f AS ({{frames}}),
+    p AS (SELECT *, lag(w, {s}) OVER (PARTITION BY nation ORDER BY t) AS ws FROM w),
+    f AS ({frames}),
     c AS (SELECT nation, scheme, origin, horizon, lo, hi, target, sum(w * ws) / sum(ws * ws) AS coefficient
-          FROM f JOIN p USING (nation) WHERE t BETWEEN lo + 9 AND hi GROUP BY ALL)
+          FROM f JOIN p USING (nation) WHERE t BETWEEN lo + {2 * s + 1} AND hi GROUP BY ALL)
     SELECT c.*, g.y AS actual, a.y + e.u + coefficient * (a.u - b.u) AS pred FROM c
-      JOIN p a ON a.nation = c.nation AND a.t = hi + horizon - 4 JOIN p e ON e.nation = c.nation AND e.t = hi
-      JOIN p b ON b.nation = c.nation AND b.t = hi - 4 LEFT JOIN p g ON g.nation = c.nation AND g.t = target"""
+      JOIN p a ON a.nation = c.nation AND a.t = hi + horizon - {s} JOIN p e ON e.nation = c.nation AND e.t = hi
+      JOIN p b ON b.nation = c.nation AND b.t = hi - {s} LEFT JOIN p g ON g.nation = c.nation AND g.t = target"""
+
+
 WHOLE = f"""SELECT nation, 1 AS origin, CAST(h AS INTEGER) AS horizon, 'whole' AS scheme, 1 AS lo, CAST(n AS INTEGER) AS hi, CAST(n + h AS INTEGER) AS target
     FROM (SELECT nation, max(t) AS n FROM ({SERIES}) GROUP BY 1), range(1, 5) r(h)"""
 
@@ -74,7 +77,7 @@ def whole_series(series, horizons=4):
 
 
 @entry("y04_seasonal_ar_fit", f"""
-    SELECT DISTINCT nation, round(coefficient, 6) AS coefficient FROM ({AR1.format(frames=WHOLE)})""")
+    SELECT DISTINCT nation, round(coefficient, 6) AS coefficient FROM ({ar1_sql(WHOLE, SERIES, 4)})""")
 def _(t):
     series = quarters(t)
     fits = S.seasonal_ar1(series, whole_series(series, 1), ["nation"], 4)
@@ -82,7 +85,7 @@ def _(t):
 
 
 @entry("y05_point_forecasts", f"""
-    SELECT nation, horizon, target, round(pred, 2) AS pred FROM ({AR1.format(frames=WHOLE)})""")
+    SELECT nation, horizon, target, round(pred, 2) AS pred FROM ({ar1_sql(WHOLE, SERIES, 4)})""")
 def _(t):
     series = quarters(t)
     return (S.seasonal_ar1(series, whole_series(series), ["nation"], 4)
@@ -90,27 +93,41 @@ def _(t):
 
 
 def backtest(t, scheme):
-    series = quarters(t)
+    series = months(t)
     chosen = frames(series).where(F.col("scheme") == scheme)
-    return S.seasonal_ar1(series, chosen, ["nation"], 4)
+    return S.seasonal_ar1(series, chosen, ["nation"], 12)
 
 
 for _name, _scheme in [("y06_recursive_backtest", "recursive"), ("y07_rolling_backtest", "rolling")]:
     @entry(_name, f"""
         SELECT nation, origin, horizon, lo, hi, target, round(coefficient, 6) AS coefficient, round(actual, 2) AS actual, round(pred, 2) AS pred
-        FROM ({AR1.format(frames=frames_sql(8, 4, [_scheme]))})""")
+        FROM ({ar1_sql(frames_sql(25, 4, [_scheme]))})""")
     def _(t, scheme=_scheme):
         return backtest(t, scheme).select(
             "nation", "origin", "horizon", "lo", "hi", "target", F.round("coefficient", 6).alias("coefficient"),
             F.round("actual", 2).alias("actual"), F.round("pred", 2).alias("pred"))
 
 
+TESTED = (10, 15, 20, 30)
+
+
+def _chi2_sql(m):
+    """Upper tail of chi-square at q with m degrees of freedom."""
+    first = 0 if m % 2 == 0 else 0.5
+    terms = " + ".join(f"exp({i + first} * ln(q / 2) - lgamma({i + first + 1}))" for i in range(m // 2))
+    if m % 2 == 0:
+        return f"exp(-q / 2) * ({terms})"
+    error = ("exp(-q / 2) * sqrt(q / 2) * list_sum(list_transform(range(0, 200), lambda n: "
+             "exp(n * ln(q) + n * ln(2) + lgamma(n + 1) - lgamma(2 * n + 2)))) * 2 / sqrt(pi())")
+    return f"1 - {error} + exp(-q / 2) * ({terms})"
+
+
 @entry("y08_box_test", " UNION ALL ".join(f"""
-    SELECT nation, {m} AS lags, round(q, 6) AS statistic, round(exp(-q / 2) * ({' + '.join(f'pow(q / 2, {i}) / factorial({i})' for i in range(m // 2))}), 6) AS p_value
-    FROM (SELECT nation, any_value(n) * sum(r * r) FILTER (lag <= {m}) AS q FROM ({ACF}) GROUP BY 1)""" for m in (10, 20)))
+    SELECT nation, {m} AS lags, round(q, 6) AS statistic, round({_chi2_sql(m)}, 6) + 0.0 AS p_value
+    FROM (SELECT nation, any_value(n) * sum(r * r) FILTER (lag <= {m}) AS q FROM ({ACF}) GROUP BY 1)""" for m in TESTED))
 def _(t):
-    tests = S.box_test(S.acf(quarters(t), ["nation"], 20), ["nation"], [10, 20])
-    return tests.withColumns({c: F.round(c, 6) for c in ("statistic", "p_value")})
+    tests = S.box_test(S.acf(months(t), ["nation"], LAGS), ["nation"], list(TESTED))
+    return tests.withColumns({c: F.round(c, 6) + 0.0 for c in ("statistic", "p_value")})
 
 
 @entry("y08_residual_diagnostics")
@@ -136,28 +153,28 @@ def _(t):
 
 
 @entry("y10_forecast_report", f"""
-    WITH r AS ({AR1.format(frames=frames_sql(8, 4))}),
-    e AS (SELECT nation, scheme, horizon, min(target) AS first, avg(abs((actual - pred) / actual)) * 100 AS mape, avg(pow(actual - pred, 2)) AS msfe FROM r GROUP BY ALL)
+    WITH r AS ({ar1_sql(frames_sql(25, 4))}),
+    e AS (SELECT nation, scheme, horizon, min(target) AS first, avg(abs((actual - pred) / nullif(actual, 0))) * 100 AS mape, avg(pow(actual - pred, 2)) AS msfe FROM r GROUP BY ALL)
     SELECT nation, scheme, horizon, t, round(s.y, 2) AS actual, round(s.y, 2) AS pred, round(mape, 4) AS mape, round(msfe / 1e6, 2) AS msfe_millions
-    FROM e JOIN ({SERIES}) s USING (nation) WHERE t < first
+    FROM e JOIN ({MONTHLY}) s USING (nation) WHERE t < first
     UNION ALL SELECT nation, scheme, horizon, target, round(actual, 2), round(pred, 2), round(mape, 4), round(msfe / 1e6, 2) FROM r JOIN e USING (nation, scheme, horizon)""")
 def _(t):
-    series = quarters(t)
-    results = S.seasonal_ar1(series, frames(series), ["nation"], 4)
-    report = S.forecast_report(series, results, ["nation"], 8)
+    series = months(t)
+    results = S.seasonal_ar1(series, frames(series), ["nation"], 12)
+    report = S.forecast_report(series, results, ["nation"], 25)
     return report.select("nation", "scheme", "horizon", "t", F.round("actual", 2).alias("actual"),
                          F.round("pred", 2).alias("pred"), F.round("mape", 4).alias("mape"),
                          F.round(F.col("msfe") / 1e6, 2).alias("msfe_millions"))
 
 
 @entry("y11_error_frame", f"""
-    WITH r AS ({AR1.format(frames=frames_sql(8, 4))}) SELECT horizon, """ + ", ".join(f"""
-      round(avg(abs((actual - pred) / actual)) FILTER (scheme = '{s}') * 100, 4) AS "MAPE_{s}_M4",
+    WITH r AS ({ar1_sql(frames_sql(25, 4))}) SELECT horizon, """ + ", ".join(f"""
+      round(avg(abs((actual - pred) / nullif(actual, 0))) FILTER (scheme = '{s}') * 100, 4) AS "MAPE_{s}_M4",
       round(avg(pow(actual - pred, 2)) FILTER (scheme = '{s}') / 1e6, 2) AS "MSFE_{s}_M4" """ for s in ("recursive", "rolling"))
        + " FROM r GROUP BY horizon")
 def _(t):
-    series = quarters(t)
-    results = (S.seasonal_ar1(series, both_schemes(series, ["nation"], 8, 4), ["nation"], 4)
+    series = months(t)
+    results = (S.seasonal_ar1(series, both_schemes(series, ["nation"], 25, 4), ["nation"], 12)
                .withColumn("model", F.lit("M4")))
     frame = error_frame(results, "horizon", "model", "scheme", "actual", "pred", [("M4", "recursive"), ("M4", "rolling")])
     return frame.select("horizon", *[F.round(F.col(c) / (1 if c.startswith("MAPE") else 1e6),

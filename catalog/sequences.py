@@ -59,6 +59,17 @@ SERIES = f"""
     CROSS JOIN (SELECT unnest(range(1, (SELECT max(t) + 1 FROM ({QUARTERS})))) AS t) LEFT JOIN ({QUARTERS}) USING (nation, t)"""
 
 
+# by month, where the method needs more points than 27 quarters give: 80 of them
+MONTHS = QUARTERS.replace("* 4 + quarter(", "* 12 + month(")
+MONTHLY = SERIES.replace(QUARTERS, MONTHS)
+
+
+def months(t: Tables):
+    facts = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return S.to_series(facts.withColumnRenamed("c_nationkey", "nation"), ["nation"], "o_orderdate",
+                       "o_totalprice", "month")
+
+
 def quarters(t: Tables):
     facts = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     return S.to_series(facts.withColumnRenamed("c_nationkey", "nation"), ["nation"], "o_orderdate",
@@ -79,22 +90,29 @@ for _d, _D in [(1, 1), (0, 2)]:
         return S.difference(quarters(t), ["nation"], d, D, 4).withColumn("w", F.round("w", 2))
 
 
+LAGS = 40
 ACF = f"""
     SELECT a.nation, CAST(k AS INTEGER) AS lag, sum(a.x * b.x) / any_value(c0) AS r, any_value(n) AS n FROM
-      (SELECT nation, t, y - avg(y) OVER (PARTITION BY nation) AS x FROM ({SERIES})) a, range(1, 21) g(k),
-      (SELECT nation, t, y - avg(y) OVER (PARTITION BY nation) AS x FROM ({SERIES})) b,
-      (SELECT nation, count(*) AS n, var_pop(y) * count(*) AS c0 FROM ({SERIES}) GROUP BY 1) c
+      (SELECT nation, t, y - avg(y) OVER (PARTITION BY nation) AS x FROM ({MONTHLY})) a, range(1, {LAGS + 1}) g(k),
+      (SELECT nation, t, y - avg(y) OVER (PARTITION BY nation) AS x FROM ({MONTHLY})) b,
+      (SELECT nation, count(*) AS n, var_pop(y) * count(*) AS c0 FROM ({MONTHLY}) GROUP BY 1) c
     WHERE a.nation = b.nation AND b.t = a.t + k AND c.nation = a.nation GROUP BY a.nation, k"""
 
 
 @entry("w05_autocorrelation", f"SELECT nation, lag, round(r, 6) AS r, n FROM ({ACF})")
 def _(t):
-    return S.acf(quarters(t), ["nation"], 20).withColumn("r", F.round("r", 6))
+    return S.acf(months(t), ["nation"], LAGS).withColumn("r", F.round("r", 6))
 
 
-@entry("w06_partial_autocorrelation")
+@entry("w06_partial_autocorrelation", f"""
+    WITH RECURSIVE r AS (SELECT nation, list(r ORDER BY lag) AS r FROM ({ACF}) GROUP BY 1),
+    p AS (SELECT nation, 1 AS lag, r[1] AS partial, [r[1]] AS phi, r FROM r UNION ALL
+      SELECT nation, lag + 1, last, list_append(list_transform(phi, lambda x, i: x - last * phi[lag - i + 1]), last), r FROM (
+        SELECT *, (r[lag + 1] - list_dot_product(phi, list_reverse(r[1:lag]))) / (1 - list_dot_product(phi, r[1:lag])) AS last FROM p WHERE lag < {LAGS}))
+    SELECT nation, CAST(lag AS INTEGER) AS lag, round(partial, 5) + 0.0 AS partial FROM p""")
 def _(t):
-    return S.pacf(S.acf(quarters(t), ["nation"], 20), ["nation"])
+    partial = S.pacf(S.acf(months(t), ["nation"], LAGS), ["nation"])
+    return partial.withColumn("partial", F.round("partial", 5) + 0.0)
 
 
 def frames_sql(n_test, horizons, schemes=("recursive", "rolling")):
@@ -102,23 +120,23 @@ def frames_sql(n_test, horizons, schemes=("recursive", "rolling")):
     SELECT nation, CAST(i AS INTEGER) AS origin, CAST(h AS INTEGER) AS horizon, '{s}' AS scheme,
       CAST({'1' if s == 'recursive' else 'i'} AS INTEGER) AS lo, CAST(n - {n_test} - h + i AS INTEGER) AS hi,
       CAST(n - {n_test} + i AS INTEGER) AS target
-    FROM (SELECT nation, max(t) AS n FROM ({SERIES}) GROUP BY 1), range(1, {n_test + 1}) a(i), range(1, {horizons + 1}) b(h)"""
+    FROM (SELECT nation, max(t) AS n FROM ({MONTHLY}) GROUP BY 1), range(1, {n_test + 1}) a(i), range(1, {horizons + 1}) b(h)"""
                              for s in schemes)
 
 
-def frames(series, n_test=8, horizons=4):
+def frames(series, n_test=25, horizons=4):
     sizes = series.groupBy("nation").agg(F.max("t").alias("n"))
     return S.backtest_frames(sizes, n_test, horizons, "recursive").unionByName(
         S.backtest_frames(sizes, n_test, horizons, "rolling"))
 
 
 @entry("w07_backtest_frames", f"""
-    SELECT f.*, x.n_rows, x.total FROM ({frames_sql(8, 4)}) f JOIN (
+    SELECT f.*, x.n_rows, x.total FROM ({frames_sql(25, 4)}) f JOIN (
       SELECT nation, scheme, origin, horizon, count(*) AS n_rows, round(sum(y), 2) AS total
-      FROM ({frames_sql(8, 4)}) JOIN ({SERIES}) USING (nation) WHERE t BETWEEN lo AND hi GROUP BY ALL) x
+      FROM ({frames_sql(25, 4)}) JOIN ({MONTHLY}) USING (nation) WHERE t BETWEEN lo AND hi GROUP BY ALL) x
       USING (nation, scheme, origin, horizon)""")
 def _(t):
-    series = quarters(t)
+    series = months(t)
     rows = S.training_rows(series, frames(series), ["nation"])
     return rows.groupBy("nation", *S.FRAME).agg(F.count(F.lit(1)).alias("n_rows"),
                                                 F.round(F.sum("y"), 2).alias("total"))
