@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
+from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +17,8 @@ from .common import arrow_pass, only, texts_of
 
 CAPACITY = 2048
 END = 0
-#: Words whose ids a worker remembers; a full memory starts anew.
-REMEMBERED = 250_000
-#: Words the tokenizer is given at once.
-CHUNK = 2_000
+#: Words whose ids a worker remembers, about 200 bytes each.
+REMEMBERED = 1_000_000
 #: Groups that the pieces of one length are numbered in.
 GROUPS = 256
 
@@ -26,67 +26,50 @@ GROUPS = 256
 class _Encoder:
     """Ids of whole texts, word by word.
 
-    The tokenizer works on each space-separated word by itself, so words are encoded
-    once each and looked up from then on. A special token between words of one call
-    keeps their ids apart; words that contain it are encoded alone."""
+    The tokenizer lowers letters and works on each space-separated word by itself, so a word is encoded once
+    and looked up from then on. The new words of a batch are encoded together; with
+    REMEMBERED words known, others are encoded for their batch only."""
 
-    def __init__(self, path: str, mark: str):
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark, self.mark_id = mark, self.tokenizer.token_to_id(mark)
         self.known: dict[bytes, bytes] = {}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, words: list[bytes]) -> None:
-        mark = self.mark.encode()
-        plain = [w for w in words if mark not in w]
-        for i in range(0, len(plain), CHUNK):
-            part = plain[i:i + CHUNK]
-            ids = self._ids(self.mark.join(w.decode() for w in part))
-            ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
-            raw, start = ids.tobytes(), 0
-            for word, end in zip(part, ends, strict=True):
-                self.known[word] = raw[4 * start:4 * end]
-                start = end + 1
-        for word in words:
-            if mark in word:
-                self.known[word] = self._ids(word.decode()).tobytes()
-
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        out = []
-        for text in texts:
-            words = text.split()
-            new = {w for w in words if w not in self.known}
-            if new:
-                self._learn(list(new))
-            out.append(b"".join(map(self.known.__getitem__, words)))
-        return out
+        # The tokenizer lowers letters itself, but only after it has looked for special tokens.
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        new = list({w for words in split for w in words}.difference(self.known))
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        fresh = {w: array("I", e.ids).tobytes() for w, e in zip(new, encoded, strict=True)}
+        if len(self.known) + len(fresh) <= REMEMBERED:
+            self.known.update(fresh)
+            find = self.known.__getitem__
+        else:
+            find = ChainMap(fresh, self.known).__getitem__
+        return [b"".join(map(find, words)) for words in split]
 
 
-_encoders: dict[tuple[str, str], _Encoder] = {}
+_encoders: dict[str, _Encoder] = {}
 
 
 def tokenize(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-             capacity: int = CAPACITY, mark: str = "<|endoftext|>") -> DataFrame:
+             capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents: doc_id, piece, start, length, ids (little-endian 32-bit).
 
     A document is the ids of its whole text and then END; null is the empty text. Only
     documents longer than `capacity` are cut. `tokenizer` is a file of a tokenizer that
-    splits on white space before anything else and knows `mark` as a special token."""
+    splits on white space before anything else."""
     end = np.array([END], "<u4").tobytes()
 
     def pieces(batch: pa.RecordBatch) -> dict:
-        encoder = _encoders.setdefault((tokenizer, mark), None) or _Encoder(tokenizer, mark)
-        _encoders[tokenizer, mark] = encoder
+        if tokenizer not in _encoders:
+            _encoders[tokenizer] = _Encoder(tokenizer)
+        encoder = _encoders[tokenizer]
         out: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids")}
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch)), strict=True):
             ids += end
