@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from brightloom.runtime import durable
 
+from .common import forget
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): every node of an edge with the least node it is connected to.
@@ -29,8 +31,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         new = durable(small)
         same = (F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s"))
         before, after = e.agg(*same).first(), new.agg(*same).first()
+        forget(e)
         e = new
         if before == after:
             break
-    return e.select(F.col("v").alias("node"), F.col("u").alias("root")).union(
+    found = e.select(F.col("v").alias("node"), F.col("u").alias("root")).union(
         e.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+    found = durable(found)
+    forget(e)
+    return found

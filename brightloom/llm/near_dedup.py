@@ -20,11 +20,10 @@ COORDINATES = 96
 MISSED = 2e-5
 #: Slots of the table that estimates how common a coordinate-value pair is. Its size does not grow with the data.
 SLOT_BITS = 20
-LEADER_ROUNDS = 2
-#: Nodes of a list that are compared in one piece of work.
+#: Nodes of a list, by side, that are compared in one piece of work.
 BLOCK = 2048
-#: Sets of connected candidates that are compared in one piece of work, about half.
-CELL = 256
+#: Whole sets, by side, that are compared in one piece of work: nodes and shingles, about.
+CELL, CELL_SHINGLES = 1024, 1_000_000
 
 
 def least_matches(percent: int) -> int:
@@ -139,15 +138,16 @@ def _sketches(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
 
 
-def _matches(least: int):
-    """Of pairs with both sketches, those that agree in `least` coordinates."""
+def _agreeing(least: int):
+    """Of pairs with both sketches, those that agree in `least` coordinates, and in how many."""
 
     def run(batch: pa.RecordBatch) -> dict | None:
         if not batch.num_rows:
             return None
         left, right = (_sketches(batch.column(c)) for c in ("left", "right"))
-        keep = np.flatnonzero((left == right).sum(axis=1) >= least)
-        return {c: batch.column(c).take(pa.array(keep)) for c in ("a", "b")}
+        same = (left == right).sum(axis=1)
+        keep = np.flatnonzero(same >= least)
+        return {"a": batch.column("a").take(pa.array(keep)), "b": batch.column("b").take(pa.array(keep)), "same": same[keep]}
 
     return run
 
@@ -160,7 +160,7 @@ def _sketch(batch: pa.RecordBatch) -> dict:
 
 def _sets(batch: pa.RecordBatch) -> dict:
     sets = [shingle_set(t) for t in texts_of(batch)]
-    return {"node": batch.column("node"), "shingles": [np.sort(s.view(np.int64)) for s in sets]}
+    return {"node": batch.column("node"), "n": [len(s) for s in sets], "shingles": [np.sort(s.view(np.int64)) for s in sets]}
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -168,21 +168,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
     Rows are linked when their sets of five-word shingles have a Jaccard similarity of
-    `percent` hundredths or more, confirmed on the whole sets. component_id is the least id a row is connected to; kept marks
-    the rows that carry it.
-
-    Equal sets are one node from the start, so exact copies cost nothing. Nodes that
-    share a posted coordinate-value pair are candidates. A posting list is not expanded
-    to pairs: each member first meets the list's leader, the node with most company on
-    its lists, then one chosen by hash. After that only nodes outside a list's largest
-    class meet the other classes, first their closest partner and at last all that agree
-    in ``least_matches(percent)`` coordinates, so that no link between classes is lost.
+    `percent` hundredths or more, confirmed on the whole sets. component_id is the least id
+    a row is connected to; kept marks the rows that carry it.
+
+    Equal sets are one node from the start, so exact copies cost nothing. Sets are posted
+    under their rarest coordinate-value pairs; on a common list collisions are counted over
+    all coordinates, and pairs with ``least_matches(percent)`` of them hang together. Merging
+    skips what already hangs together: each member meets two leaders of its list first, and
+    after that only members outside a list's largest family meet others. Then the whole sets
+    of a family are compared: each with its leader's, and after that only those outside the
+    largest class of linked sets with those of other classes. What is compared is cut into
+    blocks on both sides, and what leaves a task are joins of families or classes, never all
+    pairs, so families of any size and likeness spread over tasks and no link between
+    different classes is lost.
 
     Null or wordless texts have the empty set, are linked with nothing and are their own
     component. A null id never names a component: a class of null ids alone gets a null
     component_id and its rows are kept. Repeated rows fall into one class. Columns
     besides id and text are ignored. No rows give no rows."""
-    spark, least = docs.sparkSession, least_matches(percent)
+    least = least_matches(percent)
     base = only(docs, **{id_col: "doc_id", text_col: "text"}).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         F.concat(F.hex(F.xxhash64("text")), F.hex(F.xxhash64(F.lit(7), "text"))).alias("key"))
@@ -194,151 +198,157 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("node", F.monotonically_increasing_id()))
     posts = durable(postings(nodes, least))
     lists = posts.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    live = durable(posts.join(lists.select("token"), "token"))
+    live = durable(posts.join(lists, "token"))
     forget(posts)
-    known = durable(_known_sets(base, nodes, live))
     sketches = durable(arrow_pass(nodes.select("node", "signature"), _sketch, "node long, sketch binary"))
 
-    sizes = live.groupBy("token").agg(F.count("*").alias("size"))
-    common = live.join(sizes, "token").groupBy("node").agg(F.sum("size").alias("common"))
-    links, labels = None, spark.createDataFrame([], "node long, root long")
-    turn, step = 0, "leader"
-    while step != "done":
-        if step == "leader":
-            rank = F.col("common") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            pairs = _to_leaders(live, labels, common, rank)
-            pairs = arrow_pass(pairs.join(sketches.toDF("a", "left"), "a").join(sketches.toDF("b", "right"), "b"),
-                               _matches(least), "a long, b long")
-        else:
-            pairs = _across(live, labels, sketches, percent, least, best=step == "best").distinct()
-        pairs = durable(pairs)
-        found = durable(_confirmed(pairs, known, percent))
-        news = not found.isEmpty()
-        if news:
-            links = found if links is None else links.union(found)
-            labels = durable(components(links))
-        turn += 1
-        if step == "all":
-            step = "done"
-        elif turn >= LEADER_ROUNDS:
-            step = "best" if step == "leader" or news else "all"
-        forget(pairs)
-    for used in (known, live, sketches):
+    pairs = durable(arrow_pass(
+        _to_leaders(live).join(sketches.toDF("a", "left"), "a").join(sketches.toDF("b", "right"), "b"),
+        _agreeing(least), "a long, b long, same int"))
+    families = components(pairs)
+    across = durable(_across(live, families, sketches, percent, least))
+    if not across.isEmpty():
+        wider = components(pairs.select("a", "b").union(across))
+        forget(families)
+        families = wider
+    known = durable(_known_sets(base, nodes, families))
+    closest = pairs.groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b")).union(across.distinct())
+    links = durable(_linked_to_leaders(closest, known, percent))
+    classes = components(links)
+    more = durable(_linked_across(families, classes, known, percent))
+    if not more.isEmpty():
+        wider = components(links.union(more))
+        forget(classes)
+        classes = wider
+    for used in (live, sketches, pairs, across, families, known, links, more):
         forget(used)
-    classes = (nodes.join(labels, "node", "left").select("set_id", "least", F.coalesce("root", "node").alias("root")))
-    names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = classes.join(names, "root").select("set_id", "component_id")
+    named = (nodes.join(classes, "node", "left").select("set_id", "least", F.coalesce("root", "node").alias("root")))
+    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_set = named.join(names, "root").select("set_id", "component_id")
     return (rows.select("doc_id", "n", "set_id").join(by_set, "set_id", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.expr("doc_id <=> component_id")))
 
 
-def _known_sets(base: DataFrame, nodes: DataFrame, live: DataFrame) -> DataFrame:
-    """(node, n, shingles) of the nodes on a list, read again from one text of each."""
-    wanted = nodes.join(live.select("node").distinct(), "node", "left_semi").select("node", "key")
-    one = base.groupBy("key").agg(F.first("text").alias("text"))
-    return arrow_pass(one.join(wanted, "key").select("node", "text"), _sets, "node long, shingles array<long>")
+def _to_leaders(live: DataFrame) -> DataFrame:
+    """Each node with two leaders of each of its lists: the node with most company on its
+    lists, which near copies agree on, and one chosen by hash."""
+    common = live.groupBy("node").agg(F.sum("size").alias("common"))
+    leaders = live.join(common, "node").groupBy("token").agg(
+        F.array_distinct(F.array(F.max_by("node", F.struct("common", "node")),
+                                 F.max_by("node", F.struct(F.xxhash64("node"), F.col("node"))))).alias("leaders"))
+    return (live.join(leaders, "token").select(F.col("node").alias("a"), F.explode("leaders").alias("b"))
+            .where("a <> b").distinct())
 
 
-def _confirmed(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity.
+def _known_sets(base: DataFrame, nodes: DataFrame, families: DataFrame) -> DataFrame:
+    """(node, n, shingles) of the nodes of families, read again from one text of each."""
+    wanted = nodes.join(families.select("node"), "node", "left_semi").select("node", "key")
+    one = base.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    return arrow_pass(one.join(wanted, "key").select("node", "text"), _sets, "node long, n int, shingles array<long>")
 
-    Pairs that hang together are checked in one place, so a set travels once and not with
-    each of its pairs. Where many hang together they are dealt to cells: the nodes to
-    buckets of about CELL, the pairs to pairs of buckets."""
-    families = components(pairs)
-    sizes = families.groupBy("root").agg(F.expr(f"int(ceil(count(*) / {CELL}))").alias("buckets"))
-    placed = durable(families.join(sizes, "root").select("node", "root", F.pmod(F.xxhash64("node"), "buckets").cast("int").alias("bucket")))
-    celled = pairs.join(placed.toDF("a", "root", "x"), "a").join(placed.drop("root").toDF("b", "y"), "b").select(
-        "root", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "a", "b")
-    ends = celled.select("root", "x", "y", F.explode(F.array("a", "b")).alias("node")).distinct().join(known, "node")
-    none = F.lit(None)
-    rows = ends.select("root", "x", "y", F.col("node").alias("a"), none.cast("long").alias("b"), "shingles").unionByName(
-        celled.select("root", "x", "y", "a", "b", none.cast("array<long>").alias("shingles")))
-
-    def check(group: pa.Table) -> dict | None:
-        sets, ask = {}, []
-        for a, b, s in zip(group.column("a").to_pylist(), group.column("b").to_pylist(), group.column("shingles"), strict=True):
-            if b is None:
-                sets[a] = s.values.to_numpy()
-            else:
-                ask.append((a, b))
-        good = []
-        for a, b in ask:
-            x, y = sorted((sets[a], sets[b]), key=len)
-            if 100 * len(x) < percent * len(y):
-                continue
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = int((y[at] == x).sum())
-            if 100 * both >= percent * (len(x) + len(y) - both):
-                good.append((a, b))
-        return {"a": [a for a, _ in good], "b": [b for _, b in good]} if good else None
-
-    return grouped_pass(rows, ["root", "x", "y"], check, "a long, b long")
-
-
-def _rooted(live: DataFrame, labels: DataFrame) -> DataFrame:
-    return live.join(labels, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
-
-
-def _to_leaders(live: DataFrame, labels: DataFrame, common: DataFrame, rank) -> DataFrame:
-    """Each node with the leader of each of its lists, if they are not yet connected."""
-    leader = live.join(common, "node").groupBy("token").agg(F.max_by("node", rank).alias("other"))
-    named = leader.join(labels.toDF("other", "other_root"), "other", "left").select(
-        "token", "other", F.coalesce("other_root", "other").alias("other_root"))
-    pairs = _rooted(live, labels).join(named, "token").where("root <> other_root")
-    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-
-
-def _across(live: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, least: int, best: bool) -> DataFrame:
-    """Pairs on a common list from different classes that agree in `least` coordinates.
-
-    On each list the nodes outside its largest class meet all nodes of other classes. A
-    list is dealt in blocks of about BLOCK nodes, and each block meets all outsiders, so
-    a long list is spread over tasks. Only pairs that agree leave a task, each from the
-    least token they share. With `best` just the closest of these partners does."""
-    tagged = _rooted(live, labels)
-    by_root = tagged.groupBy("token", "root").agg(F.count("*").alias("size"))
-    mixed = by_root.groupBy("token").agg(
+
+def _both_sides(members: DataFrame, keys: list[str], least_in: int, sizes: str) -> DataFrame:
+    """Blocks of the members outside the largest group of each list against blocks of all.
+
+    `members`: (keys…, node, root, …); `sizes` is an expression over counts for the number
+    of blocks. Adds x and y, the blocks of the two sides, and `left`."""
+    by_root = members.groupBy(*keys, "root").agg(F.count("*").alias("size"), F.sum("weight").alias("weight"))
+    mixed = by_root.groupBy(*keys).agg(
         F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots"),
-        F.sum("size").alias("size")).where("roots > 1").withColumn("blocks", F.expr(f"int(ceil(size / {BLOCK}))"))
-    listed = tagged.join(mixed.select("token", "main", "blocks"), "token").join(sketches, "node").join(live.groupBy("node").agg(F.collect_list("token").alias("tokens")), "node")
-    inside = listed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("outside", F.lit(False))
-    outside = listed.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
-        "outside", F.lit(True))
+        F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"), F.max("size").alias("main_size"),
+        F.max_by("weight", F.struct("size", "root")).alias("main_weight")).where("roots > 1")
+    blocks = lambda n, w: F.expr(f"int(greatest(1, ceil({n} / {least_in}D), ceil({w} / {sizes}D)))")
+    mixed = mixed.select(*keys, "main", blocks("all_size", "all_weight").alias("ny"),
+                         blocks("(all_size - main_size)", "(all_weight - main_weight)").alias("nx"))
+    placed = members.join(mixed, keys).drop("weight")
+    own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    others = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = placed.where("root <> main").withColumn("x", own(F.col("nx"))).withColumn("y", others("ny")).withColumn("left", F.lit(True))
+    right = placed.withColumn("y", own(F.col("ny"))).withColumn("x", others("nx")).withColumn("left", F.lit(False))
+    return left.unionByName(right).drop("main", "nx", "ny")
+
+
+def _merged(node: np.ndarray, root: np.ndarray, left: np.ndarray, near) -> dict | None:
+    """Pairs that join the groups of nodes on the left with those of others: `near(i, js)`
+    says which of js node i belongs with. Groups that a pair has joined are not compared
+    again, so there are fewer pairs than groups."""
+    group = np.unique(root, return_inverse=True)[1]
+    right, a, b = np.flatnonzero(~left), [], []
+    for i in np.flatnonzero(left):
+        js = right[group[right] != group[i]]
+        if not len(js):
+            continue
+        hits = js[near(i, js)]
+        for g, first in zip(*np.unique(group[hits], return_index=True), strict=True):
+            a.append(node[i])
+            b.append(node[hits[first]])
+            group[group == g] = group[i]
+    return {"a": np.minimum(a, b), "b": np.maximum(a, b)} if a else None
+
+
+def _across(live: DataFrame, families: DataFrame, sketches: DataFrame, percent: int, least: int) -> DataFrame:
+    """Pairs that join families: on a common list, from different families, with `least` collisions."""
+    members = live.join(families, "node", "left").select(
+        "token", "node", "n", F.coalesce("root", "node").alias("root"), F.lit(1).alias("weight"))
+    sides = _both_sides(members, ["token"], BLOCK, "1e18").join(sketches, "node")
 
     def meet(group: pa.Table) -> dict | None:
-        out = group.column("outside").to_numpy()
-        if not out.any() or out.all():
-            return None
-        node, root, n = (group.column(c).to_numpy() for c in ("node", "root", "n"))
-        sig = _sketches(group.column("sketch"))
-        x, y = np.flatnonzero(out), np.flatnonzero(~out)
-        main, token = group.column("main").to_numpy()[0], group.column("token").to_numpy()[0]
-        tokens = [None] * len(node)
-
-        def shared(i):
-            if tokens[i] is None:
-                tokens[i] = set(group.column("tokens")[i].values.to_numpy().tolist())
-            return tokens[i]
-
-        a, b = [], []
-        for i in x:
-            j = y[(root[y] != root[i]) & (100 * np.minimum(n[y], n[i]) >= percent * np.maximum(n[y], n[i]))
-                  & ((root[y] == main) | (node[i] < node[y]) | best)]
-            if not len(j):
-                continue
-            same = (sig[j] == sig[i]).sum(axis=1)
-            agree = np.flatnonzero(same >= least)
-            agree = agree[[min(shared(i) & shared(x)) == token for x in j[agree]]] if len(agree) else agree
-            keep = j[agree[[same[agree].argmax()]]] if best and len(agree) else j[agree]
-            a.append(np.full(len(keep), node[i]))
-            b.append(node[keep])
-        if not a:
+        node, root, n, left = (group.column(c).to_numpy() for c in ("node", "root", "n", "left"))
+        if not left.any() or left.all():
             return None
-        a, b = np.concatenate(a), np.concatenate(b)
-        return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
+        sketch = _sketches(group.column("sketch"))
+
+        def near(i: int, js: np.ndarray) -> np.ndarray:
+            fits = np.flatnonzero(100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))
+            return fits[(sketch[js[fits]] == sketch[i]).sum(axis=1) >= least]
 
-    wide = ["token", "block", "node", "root", "n", "main", "outside", "sketch", "tokens"]
-    return grouped_pass(inside.select(*wide).union(outside.select(*wide)), ["token", "block"], meet, "a long, b long")
+        return _merged(node, root, left, near)
+
+    return grouped_pass(sides, ["token", "x", "y"], meet, "a long, b long")
+
+
+def _compared(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Links between the left and right sets of each group (`keys`, node, root, left, n,
+    shingles), as many as join what is linked."""
+
+    def meet(group: pa.Table) -> dict | None:
+        node, root, n, left = (group.column(c).to_numpy() for c in ("node", "root", "n", "left"))
+        if not left.any() or left.all():
+            return None
+        sets = [s.values.to_numpy() for s in group.column("shingles")]
+        right = np.flatnonzero(~left)
+        flat = np.concatenate([sets[j] for j in right])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], np.repeat(right, n[right])[order]
+
+        def near(i: int, js: np.ndarray) -> np.ndarray:
+            low, high = (np.searchsorted(flat, sets[i], side) for side in ("left", "right"))
+            counts = high - low
+            at = np.repeat(low - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
+            both = np.bincount(owner[at], minlength=len(node))[js]
+            return np.flatnonzero(100 * both >= percent * (n[js] + n[i] - both))
+
+        return _merged(node, root, left, near)
+
+    return grouped_pass(rows, keys, meet, "a long, b long")
+
+
+def _linked_to_leaders(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links among pairs (a, b) where b leads many: a's set meets b's in groups of about CELL."""
+    sizes = pairs.groupBy("b").agg(F.expr(f"int(ceil(count(*) / {CELL}D))").alias("nx"))
+    dealt = pairs.join(sizes, "b").withColumn("x", F.pmod(F.xxhash64("a"), F.col("nx")).cast("int"))
+    followers = dealt.select("b", "x", F.col("a").alias("node"), F.lit(False).alias("left"))
+    leaders = dealt.select("b", "x", F.col("b").alias("node"), F.lit(True).alias("left")).distinct()
+    rows = followers.union(leaders).withColumn("root", F.col("node")).join(known, "node")
+    return _compared(rows, ["b", "x"], percent)
+
+
+def _linked_across(families: DataFrame, classes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links between different classes of a family."""
+    members = (families.select("node", F.col("root").alias("family")).join(classes, "node", "left")
+               .join(known.select("node", F.col("n").alias("weight")), "node")
+               .select("family", "node", F.coalesce("root", "node").alias("root"), "weight"))
+    sides = _both_sides(members, ["family"], CELL, str(CELL_SHINGLES))
+    return _compared(sides.join(known, "node"), ["family", "x", "y"], percent)

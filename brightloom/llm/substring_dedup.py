@@ -108,10 +108,10 @@ def _cut(length: int):
     return rows
 
 
-def text_keys(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """`docs` with k1 and k2, together a 128-bit key of the text; null texts count as empty."""
+def text_keys(docs: DataFrame, text_col: str = "text", names: tuple[str, str] = ("k1", "k2")) -> DataFrame:
+    """`docs` with two columns that together are a 128-bit key of the text; null texts count as empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumn("k1", F.xxhash64(text)).withColumn("k2", F.xxhash64(F.lit("second"), text))
+    return docs.withColumn(names[0], F.xxhash64(text)).withColumn(names[1], F.xxhash64(F.lit("second"), text))
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH,

@@ -85,3 +85,66 @@ def test_top_k_with_odd_vectors(spark):
     got = [(r.query_id, r.rank, r.vec_id) for r in top_k(df).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 3), (0, 2, 100), (0, 3, 6), (100, 1, 0), (100, 2, 3), (100, 3, 6)]
     assert top_k(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("columns", [("k1", "k2", "_kept", "_row"), ("_k1", "_K2", "kept", "n_chars"), ()])
+def test_cutting_stage_leaves_other_columns_alone(spark, columns):
+    import corpus_pipeline
+
+    rows = [(0, PASSAGE + " tail one"), (1, "head two " + PASSAGE), (2, "alone"), (3, None), (4, ""), (5, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit(i).alias(c) for i, c in enumerate(columns)])
+    got = {r.doc_id: r.asDict() for r in corpus_pipeline.cut_repeats(spark, df, "").collect()}
+    assert {k: r["text"] for k, r in got.items()} == {0: "tail one", 1: "head two", 2: "alone", 3: None, 4: "", 5: "alone"}
+    for i, c in enumerate(columns):
+        if c != "n_chars":
+            assert {r[c] for r in got.values()} == {i}
+    if "n_chars" in columns:
+        assert got[0]["n_chars"] == 8 and got[2]["n_chars"] == 3
+    assert corpus_pipeline.cut_repeats(spark, df.limit(0), "").collect() == []
+
+
+def test_families_of_unlinked_pages_send_no_pairs(spark):
+    """Pages of one template, similarity about 0.75: they hang together and none is linked."""
+    import random
+
+    from brightloom.llm import near_dedup
+
+    rng = random.Random(2)
+    frame = [f"f{i}" for i in range(400)]
+    pages = []
+    for d in range(150):
+        words = list(frame)
+        for at in rng.sample(range(0, 400, 8), 7):
+            words[at] = f"d{d}x{at}"
+        pages.append((d, " ".join(words)))
+    near = [(500 + i, pages[0][1] + f" end{i}") for i in range(5)]
+    df = spark.createDataFrame(pages + near, "doc_id long, text string").repartition(4)
+    sets = {d: set(near_dedup.shingle_set(t.encode()).tolist()) for d, t in pages + near}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    emitted = []
+    original = near_dedup.durable
+
+    def counted(table):
+        table = original(table)
+        if table.columns[:2] == ["a", "b"]:
+            emitted.append(table.count())
+        return table
+
+    near_dedup.durable = counted
+    try:
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()}
+    finally:
+        near_dedup.durable = original
+    assert got == {d: find(d) for d in sets}
+    assert max(emitted) <= 62 * len(sets)
