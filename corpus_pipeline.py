@@ -12,6 +12,13 @@ from brightloom.llm.toxicity import fit_toxicity, without_toxic
 from brightloom.runtime import durable, scratch_path
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the table lacks."""
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labelled ones, does not reject."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
@@ -22,9 +29,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """One row of each group of near copies, five-word similarity 0.8 or more: the one with
     the least id, null ids last. Ids name nothing here: rows that repeat an id with other
     texts stay, and rows without an id are compared like all. Rows without words all stay."""
-    key = "_row"
-    while key in map(str.lower, docs.columns):
-        key += "_"
+    key = _unused(docs, "_row")
     keyed = durable(docs.withColumn(key, F.monotonically_increasing_id()))
     classes = near_duplicates(keyed, id_col=key, percent=80).select(F.col("doc_id").alias(key), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key)))[key]
@@ -34,11 +39,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that also stand elsewhere. Texts that lose nothing
-    stay as they are; others keep their remaining words, joined by one space."""
-    cut = without_repeats(docs).where("n_removed > 0").select("k1", "k2", F.col("kept").alias("_kept"))
-    joined = text_keys(docs).join(cut, ["k1", "k2"], "left")
-    text = F.coalesce("_kept", "text")
-    changed = {"text": text, "n_chars": F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType)}
+    stay as they are, null ones too; others keep their remaining words, joined by one space,
+    and `n_chars` follows where there is such a column. Other columns, whatever their names,
+    pass through; no rows give no rows."""
+    first, second, kept = (_unused(docs, name) for name in ("_k1", "_k2", "_kept"))
+    cut = without_repeats(docs).where("n_removed > 0").select(
+        F.col("k1").alias(first), F.col("k2").alias(second), F.col("kept").alias(kept))
+    joined = text_keys(docs, names=(first, second)).join(cut, [first, second], "left")
+    changed = {"text": F.coalesce(kept, "text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.length(kept)).cast(docs.schema["n_chars"].dataType)
     return joined.withColumns(changed).select(*docs.columns)
 
 
