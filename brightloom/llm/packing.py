@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import bisect
+import json
 import zlib
 from array import array
 from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from brightloom.runtime import durable
@@ -17,18 +19,33 @@ from .common import arrow_pass, only, texts_of
 
 CAPACITY = 2048
 END = 0
-#: Words whose ids a worker remembers, about 200 bytes each.
+#: Words, and pieces of words, whose ids a worker remembers: about 200 bytes each.
 REMEMBERED = 1_000_000
 #: Groups that the pieces of one length are numbered in.
 GROUPS = 256
 
 
+#: Words of these letters and signs alone have no composed forms, case rules or blanks to mind.
+PLAIN = regex.compile(r"[!-~\u00a1-\u012f\u0131-\u024f]+")
+
+
+def _byte_letters() -> list[str]:
+    """A letter for each byte: printable ones of Latin-1 stand for themselves, the others
+    follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
 class _Encoder:
     """Ids of whole texts, word by word.
 
-    The tokenizer lowers letters and works on each space-separated word by itself, so a word is encoded once
-    and looked up from then on. The new words of a batch are encoded together; with
-    REMEMBERED words known, others are encoded for their batch only."""
+    The tokenizer lowers letters and works on each space-separated word by itself, so a
+    word is encoded once and looked up from then on; with REMEMBERED words known, others
+    are encoded for their batch only. Where the tokenizer's file says that it cuts words by
+    a pattern into pieces of byte letters, plain words are cut here by that pattern and only
+    pieces not met before go through its merges; all other words go through the tokenizer,
+    those of a batch together."""
 
     def __init__(self, path: str):
         import os
@@ -38,14 +55,50 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.cut = self._pattern()
+        self.letters = _byte_letters()
+
+    def _pattern(self):
+        """The pattern that cuts words, None where the file describes something else."""
+        parts = json.loads(self.tokenizer.to_str())
+        try:
+            normal = [x["type"] for x in parts["normalizer"]["normalizers"]]
+            split, level = parts["pre_tokenizer"]["pretokenizers"]
+            alike = (normal == ["NFC", "Replace", "Lowercase"] and parts["model"]["type"] == "BPE" and split["type"] == "Split"
+                     and split["behavior"] == "Removed" and split["invert"] and level["type"] == "ByteLevel"
+                     and not level["add_prefix_space"] and not level["use_regex"])
+            return regex.compile(split["pattern"]["Regex"]).findall if alike else None
+        except (KeyError, TypeError, ValueError):
+            return None
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            spelt = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+            if len(self.pieces) < REMEMBERED:
+                self.pieces[piece] = ids
+        return ids
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        fresh, whole = {}, []
+        for word in words:
+            text = word.decode()
+            if self.cut is None or "<|" in text or not PLAIN.fullmatch(text):
+                whole.append(word)
+            else:
+                fresh[word] = b"".join([self._piece(p) for p in self.cut(text.lower())])
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in whole], add_special_tokens=False)
+        fresh.update((w, array("I", e.ids).tobytes()) for w, e in zip(whole, encoded, strict=True))
+        return fresh
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        # The tokenizer lowers letters itself, but only after it has looked for special tokens.
-        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        new = list({w for words in split for w in words}.difference(self.known))
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        fresh = {w: array("I", e.ids).tobytes() for w, e in zip(new, encoded, strict=True)}
+        # The tokenizer lowers letters itself, but only after it has looked for special tokens
+        # and composed letters with the marks (U+0300 to U+036F) behind them.
+        split = [(text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()).split() for text in texts]
+        fresh = self._learn(list({w for words in split for w in words}.difference(self.known)))
         if len(self.known) + len(fresh) <= REMEMBERED:
             self.known.update(fresh)
             find = self.known.__getitem__
