@@ -10,16 +10,20 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..runtime import scratch_path
 from .evaluate import r2_of
 
 DEEPEST = 30  # Spark's limit on tree depth
@@ -355,8 +359,59 @@ def random_search(estimator: Estimator, space: list[dict], df: DataFrame, keys:
                        **kwargs)
 
 
-def fit_tree_cv(df: DataFrame, keys: list[str], space: list[dict] = TREE_SPACE, **kwargs) -> Searched:
-    return grid_search(decision_tree(), [tree_params(**p) for p in space], df, keys, **kwargs)
+def _cut_predictions(model: Model, depths: list[int]) -> list[Column]:
+    """Prediction of a tree as if it had stopped growing at each depth. Splits are chosen
+    level by level, so a tree of less depth is the top of a deeper one, and the model's
+    table of nodes has a prediction for inner nodes too."""
+    spark = SparkSession.active()
+    path = scratch_path(spark, "tree")
+    model.write().save(path)
+    nodes = {r["id"]: r for r in spark.read.parquet(f"{path}/data").collect()}  # at most 2^(depth + 1)
+    values = vector_to_array("features")
+
+    def grow(at: int, left: int) -> Column:
+        node = nodes[at]
+        if left == 0 or node["leftChild"] < 0:
+            return F.lit(node["prediction"])
+        goes_left = F.get(values, F.lit(node["split"]["featureIndex"])) <= node["split"]["leftCategoriesOrThreshold"][0]
+        return F.when(goes_left, grow(node["leftChild"], left - 1)).otherwise(grow(node["rightChild"], left - 1))
+
+    return [grow(0, d) for d in depths]
+
+
+def fit_tree_cv(df: DataFrame, keys: list[str], space: list[dict] = TREE_SPACE, folds: int = 5,
+                seed: int = 0, parallelism: int = 4) -> Searched:
+    """k-fold search over trees. Candidates that differ in depth alone share a fit per fold:
+    the deepest is grown, and all depths are scored on the held-out fold in one pass.
+    Features have to be continuous."""
+    mapped = [tree_params(**p) for p in space]
+    maps = [p for i, p in enumerate(mapped) if p not in mapped[:i]]
+    leaves = sorted({p["minInstancesPerNode"] for p in maps})
+    data = df.withColumn("fold", bucket_of(keys, folds, seed)).persist()
+
+    def scores(job: tuple[int, int]) -> list[float]:
+        least, fold = job
+        depths = [p["maxDepth"] for p in maps if p["minInstancesPerNode"] == least]
+        tree = decision_tree().setMaxDepth(max(depths)).setMinInstancesPerNode(least)
+        cut = _cut_predictions(tree.fit(data.where(F.col("fold") != fold)), depths)
+        held_out = data.where(F.col("fold") == fold).select("label", *[c.alias(f"p{i}") for i, c in enumerate(cut)])
+        return list(held_out.agg(*[r2_of("label", f"p{i}").alias(f"r{i}") for i in range(len(cut))]).first())
+
+    try:
+        jobs = [(least, fold) for least in leaves for fold in range(folds)]
+        with ThreadPool(parallelism) as pool:
+            found = dict(zip(jobs, pool.map(inheritable_thread_target(df.sparkSession)(scores), jobs)))
+        results = []
+        for least in leaves:
+            same = [p for p in maps if p["minInstancesPerNode"] == least]
+            means = np.mean([found[least, fold] for fold in range(folds)], axis=0)
+            results += list(zip(same, map(float, means)))
+        results.sort(key=lambda r: maps.index(r[0]))
+        best, r2 = max(results, key=lambda r: r[1])
+        model = decision_tree().setParams(**best).fit(data)
+        return Searched(model, best, r2, float(RegressionEvaluator(metricName="r2").evaluate(model.transform(data))), results)
+    finally:
+        data.unpersist()
 
 
 def fit_forest_search(df: DataFrame, keys: list[str], space: list[dict] = FOREST_SPACE,

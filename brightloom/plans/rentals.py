@@ -55,44 +55,98 @@ def fit_trees(kind: str, train: DataFrame, features: list[str], label: str, keys
     return fit(M.assemble(train, features, label), keys, **options.get(kind, {}))
 
 
+LINEAR = ("ols", "ridge", "lasso")
+
+
+@dataclass
+class Fitted:
+    """A model of one family with what it takes to use it."""
+
+    approach: str
+    kind: str
+    features: list[str]
+    label: str
+    model: object
+
+    def score(self, rows: DataFrame, model: object | None = None) -> DataFrame:
+        """One leaderboard row: R² over `rows`."""
+        model = model or self.model
+        if self.kind in LINEAR:
+            scored = model.transform(rows.withColumn("label", F.col(self.label).cast("double")))
+        else:
+            scored = model.transform(M.assemble(rows, self.features, self.label))
+        return M.metric_row(scored, self.approach)
+
+    def refitted(self, rows: DataFrame, keys: list[str]) -> object:
+        """The same kind of model with the same parameters on other rows."""
+        if self.kind in LINEAR:
+            if self.kind == "lasso":
+                return M.fit_lasso(rows, self.features, self.label, [self.model.penalty])[0]
+            return (M.fit_ols(rows, self.features, self.label) if self.kind == "ols"
+                    else M.fit_ridge_cv(rows, self.features, self.label, keys, [self.model.penalty]))
+        estimator = {"tree": M.decision_tree, "forest": M.random_forest, "extra": M.extra_trees}[self.kind]()
+        params = {estimator.getParam(n): v for n, v in self.model.best.items()}
+        return estimator.copy(params).fit(M.assemble(rows, self.features, self.label))
+
+
 def select_model(train: DataFrame, validation: DataFrame, features: list[str], label: str,
                  keys: list[str], candidates: tuple[str, ...], options: dict | None = None,
-                 name: str = "") -> tuple[DataFrame, dict]:
-    """Fit every model family on the same rows; leaderboard rows and the models."""
+                 name: str = "") -> tuple[DataFrame, dict[str, Fitted]]:
+    """Fit every model family on the same rows; leaderboard rows and the models by approach."""
     rows, fitted = [], {}
     for kind in candidates:
-        if kind in ("ols", "ridge", "lasso"):
-            model = fit_linear(kind, train, features, label, keys)
-            scored = model.transform(validation.withColumn("label", F.col(label).cast("double")))
-        else:
-            model = fit_trees(kind, train, features, label, keys, options or {}).model
-            scored = model.transform(M.assemble(validation, features, label))
-        fitted[kind] = (model, features)
-        rows.append(M.metric_row(scored, f"{name} {kind}".strip()))
+        approach = f"{name} {kind}".strip()
+        model = (fit_linear(kind, train, features, label, keys) if kind in LINEAR
+                 else fit_trees(kind, train, features, label, keys, options or {}))
+        one = Fitted(approach, kind, features, label, model)
+        fitted[approach] = one
+        rows.append(one.score(validation, model if kind in LINEAR else model.model))
     return leaderboard(rows, "accuracy", "approach"), fitted
 
 
+@dataclass
+class Results:
+    """`board`: all models by their score on validation rows. `final`: the best ones,
+    fitted again on all rows before the hold-out and scored on the hold-out. `models`:
+    those, by approach."""
+
+    board: DataFrame
+    final: DataFrame
+    models: dict[str, object]
+
+
 def run_experiment(df: DataFrame, spec: Experiment, rounds=(("drop", "corr"), ("impute", "corr"),
-                                                            ("drop", "lasso"), ("impute", "lasso"))) -> DataFrame:
-    """Leaderboard of all rounds on the validation rows. Each round's feature table is
-    kept once; the fits in it share it."""
-    boards = []
+                                                            ("drop", "lasso"), ("impute", "lasso")),
+                   finalists: int = 3) -> Results:
+    """All rounds, then the final test of the best. Each round's feature table is kept once;
+    the fits in it share it. No round sees a row of the hold-out."""
+    spark, boards, fitted, tables = df.sparkSession, [], {}, {}
     source = df.persist()
-    for nulls, chosen in rounds:
-        table = spec.features(clean(source, spec, nulls))
-        past = M.split_random(table.where(~spec.is_test), spec.keys).persist()
-        try:
-            train, validation = past.where("is_train = 1"), past.where("is_train = 0")
-            skip = {*spec.keys, spec.label, "is_train"}
-            names = [n for n, kind in past.dtypes
-                     if n not in skip and kind in ("int", "bigint", "double", "float", "smallint")]
-            features = (select_by_corr(train, names, spec.label) if chosen == "corr"
-                        else M.select_by_lasso(M.fit_lasso_cv(train, names, spec.label, spec.keys)))
-            board, _ = select_model(train, validation, features, spec.label, spec.keys,
-                                    (*spec.linear, *spec.trees), spec.tree_options, f"{nulls} {chosen}")
-            boards += [tuple(r) for r in board.collect()]
-        finally:
-            past.unpersist()
-    source.unpersist()
-    table = df.sparkSession.createDataFrame(boards, "approach string, accuracy double")
-    return leaderboard(table, "accuracy", "approach")
+    try:
+        for nulls, chosen in rounds:
+            table = spec.features(clean(source, spec, nulls))
+            past = M.split_random(table.where(~spec.is_test), spec.keys).persist()
+            try:
+                train, validation = past.where("is_train = 1"), past.where("is_train = 0")
+                skip = {*spec.keys, spec.label, "is_train"}
+                names = [n for n, kind in past.dtypes
+                         if n not in skip and kind in ("int", "bigint", "double", "float", "smallint")]
+                features = (select_by_corr(train, names, spec.label) if chosen == "corr"
+                            else M.select_by_lasso(M.fit_lasso_cv(train, names, spec.label, spec.keys)))
+                board, models = select_model(train, validation, features, spec.label, spec.keys,
+                                             (*spec.linear, *spec.trees), spec.tree_options, f"{nulls} {chosen}")
+                boards += [tuple(r) for r in board.collect()]
+                fitted |= models
+                tables |= dict.fromkeys(models, table)
+            finally:
+                past.unpersist()
+        board = leaderboard(spark.createDataFrame(boards, "approach string, accuracy double"), "accuracy", "approach")
+        final, models = [], {}
+        for row in board.limit(finalists).collect():
+            one, table = fitted[row["approach"]], tables[row["approach"]]
+            models[one.approach] = one.refitted(table.where(~spec.is_test), spec.keys)
+            final += [tuple(r) for r in one.score(table.where(spec.is_test), models[one.approach]).collect()]
+        tested = leaderboard(spark.createDataFrame(final, "approach string, accuracy double"), "accuracy", "approach")
+        return Results(board, tested, models)
+    finally:
+        source.unpersist()
