@@ -19,22 +19,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     e = (edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
          .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
     e = durable(e)
-    while True:
+    same = (F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s"))
+    before = e.agg(*same).first()
+    while before["n"]:
         both = e.union(e.select("v", "u")).toDF("u", "v")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.join(low, "u").where("v > u").select(F.col("m").alias("u"), "v")
-                 .where("u <> v").distinct())
+                 .where("u <> v"))
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = (large.join(low, "v").select(F.explode(F.array(
             F.struct(F.col("m").alias("u"), F.col("v")), F.struct(F.col("m").alias("u"), F.col("u").alias("v")))).alias("x"))
             .select("x.*").where("u <> v").distinct())
         new = durable(small)
-        same = (F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s"))
-        before, after = e.agg(*same).first(), new.agg(*same).first()
+        after = new.agg(*same).first()
         forget(e)
         e = new
         if before == after:
             break
+        before = after
     found = e.select(F.col("v").alias("node"), F.col("u").alias("root")).union(
         e.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
     found = durable(found)
