@@ -17,9 +17,10 @@ TAGS = f"SELECT word, count(*) AS total FROM ({WORDS}) WHERE contains(word, '#')
 
 
 def stream(t, name):
-    """The parquet file of a table as a stream."""
-    return read_lines_stream(t.spark, "parquet", t.folder, schema=getattr(t, name).schema,
-                             name_filter=f"{name}.parquet")
+    """A table as a stream, be it one parquet file or a folder of them. As a pattern its path
+    may be either; Spark takes a plain path for a folder."""
+    return read_lines_stream(t.spark, "parquet", f"{t.folder}/{name}.parque[t]", schema=getattr(t, name).schema,
+                             basePath=t.folder)
 
 
 def finish(t, df, mode, wrap=lambda sink: sink):

@@ -151,3 +151,26 @@ def test_log_records_batches_late_rows_and_failures(spark, tmp_path):
     assert sum(r.event == "started" for r in rows) == 3
     got = {r.window_start.hour + 24 * (r.window_start.day - 1): r.n for r in K.read_batches(spark, out).collect()}
     assert got == {0: 1, 1: 1, 9: 1, 10: 1}
+
+
+@pytest.mark.parametrize("folder, kind", [(False, ""), (True, ""), (True, "lang")])
+def test_table_streams_read_files_and_folders(spark, tmp_path, folder, kind):
+    """A table is one file at a small size, a folder of files (or of folders) at a larger one."""
+    import pathlib
+    import shutil
+
+    from brightloom.runtime import Tables
+    from catalog.streams import stream
+
+    rows = spark.createDataFrame([(i, f"w{i}", "en" if i % 2 else "de") for i in range(10)], "doc_id long, text string, lang string")
+    writer = rows.repartition(3).write if folder else rows.coalesce(1).write
+    (writer.partitionBy(kind) if kind else writer).parquet(f"{tmp_path}/written")
+    rows.limit(2).write.parquet(f"{tmp_path}/in/labels.parquet")  # another table
+    if folder:
+        shutil.copytree(f"{tmp_path}/written", f"{tmp_path}/in/documents.parquet")
+    else:
+        shutil.copy(next(pathlib.Path(f"{tmp_path}/written").glob("*.parquet")), f"{tmp_path}/in/documents.parquet")
+    got = stream(Tables(spark, f"{tmp_path}/in"), "documents")
+    K.run_available(got.select("doc_id", "text", "lang"), K.parquet_batches(f"{tmp_path}/out"), "append")
+    out = K.read_batches(spark, f"{tmp_path}/out").drop("batch_id")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
