@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import models as M
 from ..operators.evaluate import leaderboard
 from ..operators.prepare import impute_median, impute_mode, select_by_corr
 from ..operators.rows import null_count_filter
+from ..runtime import durable
 
 
 @dataclass
@@ -89,19 +92,29 @@ class Fitted:
         return estimator.copy(params).fit(M.assemble(rows, self.features, self.label))
 
 
+SCORES = "approach string, accuracy double"
+
+
+def at_once(df: DataFrame, fn: Callable, jobs: list) -> list:
+    """`fn` of every job. The fits of an experiment are many short jobs that don't wait for
+    each other, so several of them share the executors."""
+    with ThreadPool(max(1, min(len(jobs), 4))) as pool:
+        return pool.map(inheritable_thread_target(df.sparkSession)(fn), jobs, 1)
+
+
 def select_model(train: DataFrame, validation: DataFrame, features: list[str], label: str,
                  keys: list[str], candidates: tuple[str, ...], options: dict | None = None,
                  name: str = "") -> tuple[DataFrame, dict[str, Fitted]]:
     """Fit every model family on the same rows; leaderboard rows and the models by approach."""
-    rows, fitted = [], {}
-    for kind in candidates:
-        approach = f"{name} {kind}".strip()
+    def fit(kind: str) -> tuple[Fitted, list[tuple]]:
         model = (fit_linear(kind, train, features, label, keys) if kind in LINEAR
                  else fit_trees(kind, train, features, label, keys, options or {}))
-        one = Fitted(approach, kind, features, label, model)
-        fitted[approach] = one
-        rows.append(one.score(validation, model if kind in LINEAR else model.model))
-    return leaderboard(rows, "accuracy", "approach"), fitted
+        one = Fitted(f"{name} {kind}".strip(), kind, features, label, model)
+        return one, one.score(validation, model if kind in LINEAR else model.model).collect()
+
+    done = at_once(train, fit, list(candidates))
+    scores = train.sparkSession.createDataFrame([tuple(r) for _, rows in done for r in rows], SCORES)
+    return leaderboard(scores, "accuracy", "approach"), {one.approach: one for one, _ in done}
 
 
 @dataclass
@@ -118,35 +131,41 @@ class Results:
 def run_experiment(df: DataFrame, spec: Experiment, rounds=(("drop", "corr"), ("impute", "corr"),
                                                             ("drop", "lasso"), ("impute", "lasso")),
                    finalists: int = 3) -> Results:
-    """All rounds, then the final test of the best. Each round's feature table is kept once;
-    the fits in it share it. No round sees a row of the hold-out."""
-    spark, boards, fitted, tables = df.sparkSession, [], {}, {}
-    source = df.persist()
+    """All rounds, then the final test of the best. Rounds that treat nulls alike share one
+    feature table, written once, so that fits start from its rows and not from all the steps
+    that led to them. No round sees a row of the hold-out."""
+    spark, source = df.sparkSession, df.persist()
+    treatments = list(dict.fromkeys(nulls for nulls, _ in rounds))
+    past: dict[str, DataFrame] = {}
     try:
-        for nulls, chosen in rounds:
-            table = spec.features(clean(source, spec, nulls))
-            past = M.split_random(table.where(~spec.is_test), spec.keys).persist()
-            try:
-                train, validation = past.where("is_train = 1"), past.where("is_train = 0")
-                skip = {*spec.keys, spec.label, "is_train"}
-                names = [n for n, kind in past.dtypes
-                         if n not in skip and kind in ("int", "bigint", "double", "float", "smallint")]
-                features = (select_by_corr(train, names, spec.label) if chosen == "corr"
-                            else M.select_by_lasso(M.fit_lasso_cv(train, names, spec.label, spec.keys)))
-                board, models = select_model(train, validation, features, spec.label, spec.keys,
-                                             (*spec.linear, *spec.trees), spec.tree_options, f"{nulls} {chosen}")
-                boards += [tuple(r) for r in board.collect()]
-                fitted |= models
-                tables |= dict.fromkeys(models, table)
-            finally:
-                past.unpersist()
-        board = leaderboard(spark.createDataFrame(boards, "approach string, accuracy double"), "accuracy", "approach")
-        final, models = [], {}
-        for row in board.limit(finalists).collect():
-            one, table = fitted[row["approach"]], tables[row["approach"]]
-            models[one.approach] = one.refitted(table.where(~spec.is_test), spec.keys)
-            final += [tuple(r) for r in one.score(table.where(spec.is_test), models[one.approach]).collect()]
-        tested = leaderboard(spark.createDataFrame(final, "approach string, accuracy double"), "accuracy", "approach")
-        return Results(board, tested, models)
+        tables = dict(zip(treatments, at_once(df, lambda nulls: durable(spec.features(clean(source, spec, nulls))), treatments)))
+        past = {nulls: M.split_random(table.where(~spec.is_test), spec.keys).persist() for nulls, table in tables.items()}
+
+        def run_round(job: tuple[str, str]) -> tuple[list[tuple], dict[str, Fitted]]:
+            nulls, chosen = job
+            train, validation = past[nulls].where("is_train = 1"), past[nulls].where("is_train = 0")
+            skip = {*spec.keys, spec.label, "is_train"}
+            names = [n for n, kind in train.dtypes
+                     if n not in skip and kind in ("int", "bigint", "double", "float", "smallint")]
+            features = (select_by_corr(train, names, spec.label) if chosen == "corr"
+                        else M.select_by_lasso(M.fit_lasso_cv(train, names, spec.label, spec.keys)))
+            board, models = select_model(train, validation, features, spec.label, spec.keys,
+                                         (*spec.linear, *spec.trees), spec.tree_options, f"{nulls} {chosen}")
+            return [tuple(r) for r in board.collect()], models
+
+        done = at_once(df, run_round, list(rounds))
+        fitted = {name: (one, tables[nulls]) for (nulls, _), (_, models) in zip(rounds, done) for name, one in models.items()}
+        board = leaderboard(spark.createDataFrame([r for rows, _ in done for r in rows], SCORES), "accuracy", "approach")
+
+        def test(approach: str) -> tuple[object, list[tuple]]:
+            one, table = fitted[approach]
+            model = one.refitted(table.where(~spec.is_test), spec.keys)
+            return model, [tuple(r) for r in one.score(table.where(spec.is_test), model).collect()]
+
+        best = [row["approach"] for row in board.limit(finalists).collect()]
+        tested = at_once(df, test, best)
+        final = spark.createDataFrame([r for _, rows in tested for r in rows], SCORES)
+        return Results(board, leaderboard(final, "accuracy", "approach"), {name: model for name, (model, _) in zip(best, tested)})
     finally:
-        source.unpersist()
+        for kept in (source, *past.values()):
+            kept.unpersist()

@@ -44,3 +44,20 @@ def test_depths_of_one_tree_score_like_trees_of_their_own(spark):
     assert [p for p, _ in quick.results] == [p for p, _ in plain.results]
     assert [r for _, r in quick.results] == pytest.approx([r for _, r in plain.results])
     assert quick.best == plain.best and quick.train_r2 == pytest.approx(plain.train_r2)
+
+
+def test_rounds_share_a_written_feature_table(spark):
+    """One table per treatment of nulls, and a plan of a few lines below every fit."""
+    rows = [(i, None if i % 20 == 0 else float(i % 7), float(i % 5), "x", float(3 * (i % 7) - i % 5)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, kind string, y double")
+    built = []
+
+    def features(table):
+        built.append(table)
+        return table.drop("kind")
+
+    spec = Experiment(label="y", keys=["id"], numeric=["a", "b"], categorical=["kind"], features=features,
+                      is_test=F.col("id") >= 90, linear=("ols", "ridge", "lasso"), trees=())
+    got = run_experiment(df, spec, finalists=1)
+    assert len(built) == 2 and got.board.count() == 12 and got.final.count() == 1
+    assert {r.approach.rsplit(" ", 1)[0] for r in got.board.collect()} == {"drop corr", "impute corr", "drop lasso", "impute lasso"}
