@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.porter import stem_array
@@ -67,10 +69,38 @@ def is_negation(word: Column, words: list[str] | None = None, ending: str = NEGA
     return word.isin(NEGATION_WORDS if words is None else words) | word.contains(ending)
 
 
-def negation_scores(tokens: DataFrame, doc: str, negations: list[str] | None = None) -> DataFrame:
+#: By distance from a negation; 0 from ten tokens on.
+FADE = [1 - 0.1 * d for d in range(10)]
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with `value` computed once, also where lambdas in `use` refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scored_words(words: Column, negations: list[str] | None) -> Column:
+    """(word, left, right, pos) of every word of an array. A score fades to 0 within ten
+    words, so each word looks at nine neighbours on either side."""
+    def near(flags: Column, at: Column, side: int) -> Column:
+        return F.coalesce(*[F.when(F.get(flags, at + side * d), F.lit(v)) for d, v in enumerate(FADE)], F.lit(0.0))
+
+    def scored(words: Column) -> Column:
+        return _bound(F.transform(words, lambda w: is_negation(w, negations)), lambda flags: F.transform(
+            words, lambda w, i: F.struct(w.alias("word"), near(flags, i, -1).alias("left"),
+                                         near(flags, i, 1).alias("right"), i.alias("pos"))))
+
+    return _bound(words, scored)
+
+
+def negation_scores(tokens: DataFrame, doc: str, negations: list[str] | None = None,
+                    words: Column | None = None) -> DataFrame:
     """Adds ``left`` and ``right`` to (doc, pos, word): 1 at a negation, a tenth less
     with every further token after (left) or before it (right), not below 0.
-    Windows run inside one document, which came from one row."""
+    Windows run inside one document, which came from one row. With `words`, an array
+    column, `tokens` has a row per document instead and all is found within the row."""
+    if words is not None:
+        return (tokens.select(doc, F.explode_outer(_scored_words(words, negations)).alias("_t"))
+                .where(F.col("_t").isNotNull()).select(doc, "_t.pos", "_t.word", "_t.left", "_t.right"))
     flagged = tokens.withColumn("_at", F.when(is_negation(F.col("word"), negations), F.col("pos")))
     # two growing frames in opposite order: a shrinking frame costs the square of the length
     growing = lambda at: (Window.partitionBy(doc).orderBy(at)
@@ -82,11 +112,20 @@ def negation_scores(tokens: DataFrame, doc: str, negations: list[str] | None = N
             .withColumn("right", fade(after - F.col("pos"))).drop("_at"))
 
 
-def negation_features(tokens: DataFrame, doc: str, negations: list[str] | None = None) -> DataFrame:
+def negation_features(tokens: DataFrame, doc: str, negations: list[str] | None = None,
+                      words: Column | None = None) -> DataFrame:
     """``neg_l(word)`` and ``neg_r(word)`` per document; a repeated word keeps the
-    value at its last position."""
-    last = (negation_scores(tokens, doc, negations).groupBy(doc, "word")
-            .agg(F.max_by(F.struct("left", "right"), "pos").alias("s")))
+    value at its last position. `words` as in `negation_scores`: then a document's words
+    are sorted within its row and the last of equal ones is kept, nothing is moved."""
+    if words is not None:
+        by_word = F.sort_array(F.transform(_scored_words(words, negations), lambda t: F.struct(
+            t["word"].alias("word"), t["pos"].alias("pos"), t["left"].alias("left"), t["right"].alias("right"))))
+        kept = _bound(by_word, lambda a: F.filter(a, lambda t, i: ~t["word"].eqNullSafe(F.get(a, i + 1)["word"])))
+        last = (tokens.select(doc, F.explode_outer(kept).alias("s")).where(F.col("s").isNotNull())
+                .select(doc, "s.word", "s"))
+    else:
+        last = (negation_scores(tokens, doc, negations).groupBy(doc, "word")
+                .agg(F.max_by(F.struct("left", "right"), "pos").alias("s")))
     pairs = F.array(
         F.struct(F.concat(F.lit("neg_l("), F.col("word"), F.lit(")")).alias("feature"),
                  F.col("s.left").alias("value")),
@@ -110,9 +149,8 @@ def extract_features(df: DataFrame, doc: str, text: str, n: int = 3, stem: str |
     With a (word, tag) table the part-of-speech family is added."""
     words = df.select(doc, plain_tokens(text, stem).alias("_words"),
                       F.transform(split_whitespace(text), F.lower).alias("_raw"))
-    tokens = positions_of(words, [doc], F.col("_raw" if pre_stem else "_words"), "word")
     families = ngram_features(words, doc, "_words", n).unionByName(
-        negation_features(tokens, doc, negations))
+        negation_features(words, doc, negations, F.col("_raw" if pre_stem else "_words")))
     if tags is not None:
         families = families.unionByName(pos_features(
             positions_of(words, [doc], F.col("_words"), "word"), doc, tags))

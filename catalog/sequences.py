@@ -38,15 +38,11 @@ NEGATION_SQL = f"""
         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - pos), 0)) AS r FROM f"""
 
 
-def clean_tokens(t: Tables):
-    docs = t.spread("documents", "doc_id")
-    return positions_of(docs, ["doc_id"], W.plain_tokens(F.lower("text")), "word")
-
-
 @entry("w03_negation_proximity", f"""
     SELECT doc_id, pos, word, round(l, 6) AS "left", round(r, 6) AS "right" FROM ({NEGATION_SQL})""")
 def _(t):
-    scores = W.negation_scores(clean_tokens(t), "doc_id", NEGATIONS)
+    docs = t.spread("documents", "doc_id")
+    scores = W.negation_scores(docs, "doc_id", NEGATIONS, W.plain_tokens(F.lower("text")))
     return scores.withColumns({c: F.round(c, 6) for c in ("left", "right")})
 
 

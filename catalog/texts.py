@@ -132,8 +132,8 @@ def _(t):
     SELECT doc_id, 'neg_l(' || word || ')' AS feature, round(arg_max(l, pos), 6) AS value FROM ({NEGATION_SQL}) GROUP BY doc_id, word
     UNION ALL SELECT doc_id, 'neg_r(' || word || ')', round(arg_max(r, pos), 6) FROM ({NEGATION_SQL}) GROUP BY doc_id, word""")
 def _(t):
-    tokens = Q.positions_of(docs(t), ["doc_id"], W.plain_tokens(F.lower("text")), "word")
-    return W.negation_features(tokens, "doc_id", NEGATIONS).withColumn("value", F.round("value", 6))
+    features = W.negation_features(docs(t), "doc_id", NEGATIONS, W.plain_tokens(F.lower("text")))
+    return features.withColumn("value", F.round("value", 6))
 
 
 @entry("t06_feature_bags", f"""

@@ -144,3 +144,18 @@ def test_word_counts(spark):
     assert got == [("cat", 2), ("dog", 2)]
     weights = {r.word: r.weight for r in W.word_cloud_weights(df, "t", ["dog"], 5).collect()}
     assert weights == {"cat": 1.0, "the": 1.0}
+
+
+def test_negations_within_the_row_equal_windows_and_move_nothing(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, [rng.choice(["not", "a", "b", "can't", "c", "d", "e", "f", "g", "h", "i", "j", "k"]) for _ in range(n)])
+            for i, n in enumerate([0, 1, 2, 9, 30, 200, 1000])]
+    df = spark.createDataFrame([*rows, (99, None)], "doc long, words array<string>")
+    tokens = df.select("doc", F.posexplode("words").alias("pos", "word"))
+    for fn in (W.negation_scores, W.negation_features):
+        inside = fn(df, "doc", ["not"], F.col("words"))
+        want = fn(tokens, "doc", ["not"])
+        assert sorted(map(tuple, inside.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+        assert "Exchange" not in inside._jdf.queryExecution().executedPlan().toString()
