@@ -56,6 +56,37 @@ def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     return salted_join(left, right, on, how)
 
 
+PAIRS_PER_TASK = 4_000_000
+
+
+def block_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner equi-join whose result may be much larger than its sides. The rows of each key
+    are counted on both sides; tasks follow the number of pairs, not the size of a side. A
+    small `right` is broadcast to parts of `left`; otherwise a key's rows are cut into
+    blocks on both sides and every block meets every other, about PAIRS_PER_TASK at most."""
+    right = durable(right)
+    counts = durable(left.groupBy(*on).agg(F.count(F.lit(1)).alias("_l"))
+                     .join(right.groupBy(*on).agg(F.count(F.lit(1)).alias("_r")), on))
+    pairs = counts.agg(F.coalesce(F.sum(F.col("_l").cast("double") * F.col("_r")), F.lit(0.0))).first()[0]
+    usual = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, min(int(pairs // PAIRS_PER_TASK), 100_000))
+    if written_bytes(right) <= BROADCAST_BYTES:
+        return (left.repartition(parts) if pairs > PAIRS_PER_TASK else left).join(F.broadcast(right), on)
+    side = int(PAIRS_PER_TASK ** 0.5)
+    blocks = [F.ceil(F.col(c) / side).cast("int").alias(c) for c in ("_l", "_r")]
+    cells = counts.select(*on, *blocks)
+
+    met = [*on, "_l_at", "_r_at"]
+
+    def cut(df: DataFrame, own: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64(*df.columns), F.col(own)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return (attach(df, cells, on).withColumns({f"{own}_at": block, f"{other}_at": every}).drop("_l", "_r")
+                .repartition(parts, *met))
+
+    return cut(left, "_l", "_r").join(cut(right, "_r", "_l"), met).drop("_l_at", "_r_at")
+
+
 def attach(facts: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
     """Put one row of statistics per group next to every fact row; null is a group.
 
@@ -91,8 +122,8 @@ def interval_join(points: DataFrame, intervals: DataFrame, value: str, low: str,
     An interval goes to the level at which a cell, `width` doubled as often as needed, is
     at least as long as it is, so it lies in one or two cells however long it is. A point
     goes to its cell of every level that intervals use, which are few. Then keys, level
-    and cell are joined by equality and the ends are tested exactly. Points of a busy cell
-    are spread by salt where the intervals are too many to broadcast. Nulls and NaN match
+    and cell are joined by equality and the ends are tested exactly. Tasks follow the number
+    of pairs that share a cell, so no busy cell and no small table is one task. Nulls and NaN match
     nothing; an interval that ends before it begins is empty. `width` affects only speed:
     about the length of the shorter intervals is best."""
     on = list(on)
@@ -109,7 +140,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, value: str, low: str,
     known = points.where(v.isNotNull() & ~F.isnan(v))
     placed = known.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))).withColumn(
         "_cell", F.floor(v / size))
-    joined = sized_join(placed, sides, [*on, "_level", "_cell"])
+    joined = block_join(placed, sides, [*on, "_level", "_cell"])
     return joined.where((v >= lo) & (v <= hi)).drop("_level", "_cell")
 
 

@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from brightloom.operators import relations as J
 
@@ -50,3 +51,18 @@ def test_no_intervals_and_no_points(sides):
     _, _, left, right = sides
     assert J.interval_join(left, right.where("i < 0"), "v", "low", "high", ["k"]).count() == 0
     assert J.interval_join(left.where("p < 0"), right, "v", "low", "high", ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [1 << 24, -1])
+def test_tasks_follow_the_pairs(spark, monkeypatch, broadcast):
+    """A few rows in one file can make many pairs: neither side's size decides on the tasks."""
+    monkeypatch.setattr(J, "PAIRS_PER_TASK", 100)
+    monkeypatch.setattr(J, "BROADCAST_BYTES", broadcast)
+    left = spark.range(60).select("id", F.when(F.col("id") < 50, "hot").otherwise("rare").alias("k"), (F.col("id") / 60.0).alias("v")).coalesce(1)
+    right = spark.range(40).select(F.col("id").alias("r"), F.when(F.col("id") < 30, "hot").otherwise("rare").alias("k"),
+                                   (F.col("id") / 80.0).alias("low"), (F.col("id") / 80.0 + 0.5).alias("high")).coalesce(1)
+    got = J.interval_join(left, right, "v", "low", "high", ["k"])
+    want = left.crossJoin(right.withColumnRenamed("k", "k2")).where("k = k2 and v between low and high")
+    assert sorted(map(tuple, got.select("id", "r").collect())) == sorted(map(tuple, want.select("id", "r").collect()))
+    tasks = [r[0] for r in got.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(tasks) >= 4 and max(tasks) < sum(tasks) / 2
