@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SPLIT_BYTES = 128 * 1024 * 1024
+SPREAD_BYTES = 16 * 1024 * 1024  # of files that one task takes of a spread table
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -75,14 +75,13 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def spread(self, name: str, key: str) -> DataFrame:
-        """The table for heavy work per row. A table whose files are too small to
-        occupy every core is hash-spread by its row key first; larger ones already
-        come in enough splits and are left alone."""
+        """The table for heavy work per row, hash-spread by its row key over every core and
+        in parts that don't grow with it. Files alone come in splits of any size, and a
+        sum by row key and something else needs no other shuffle then."""
         cores = self.spark.sparkContext.defaultParallelism
         size = (self.spark.read.format("binaryFile").load(self.path(name))
                 .agg(F.sum("length")).first()[0])
-        table = getattr(self, name)
-        return table.repartition(cores, key) if size < cores * SPLIT_BYTES else table
+        return getattr(self, name).repartition(max(cores, -(-size // SPREAD_BYTES)), key)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
