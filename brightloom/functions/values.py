@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
@@ -107,3 +109,8 @@ def int_grid(start: float, stop: float, n: int) -> Column:
     step = (stop - start) / (n - 1)
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
                        lambda i: (F.lit(float(start)) + i * F.lit(step)).cast("int"))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with `value` computed once, also where lambdas in `use` refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.porter import stem_array, stem_vocabulary
+from ..functions.porter import stem, stem_array, stem_vocabulary
 from ..functions.strings import is_alphabetic, labelled_concat, split_non_word
+from ..functions.values import bound
 from ..functions.wordlists import ENGLISH_STOP_WORDS
-from .relations import docs_with_all, match_terms, phrase_match, sized_join
+from ..runtime import durable
+from .relations import docs_with_all, match_terms, phrase_match
 from .rows import top_k
 
 
@@ -21,11 +23,25 @@ def positions_of(df: DataFrame, keep: list[str], words: Column, name: str) -> Da
             .where(F.col("pos").isNotNull()))
 
 
+FREQUENT = 400_000  # words at most whose stems every task gets
+
+
 def stem_tokens(tokens: DataFrame, column: str, algorithm: str) -> DataFrame:
-    """`column` replaced by its stem. The rules run on distinct words only; the stems come
-    back by a join that spreads frequent words."""
-    stems = stem_vocabulary(tokens, column, algorithm)
-    return (sized_join(tokens, stems, [column], "left").withColumn(column, F.col("stem"))
+    """`column` replaced by its stem, without moving a token. Words are counted; each
+    frequent one is stemmed once and looked up, the others, few tokens by their nature,
+    are stemmed where they stand. Frequent are as many powers of two of the counts, from
+    the top, as hold FREQUENT words together."""
+    counts = durable(tokens.groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
+    powers = counts.groupBy(F.floor(F.log2("_n")).alias("power")).count().orderBy(F.desc("power")).collect()
+    least, words = None, 0
+    for power in powers:  # 63 at most
+        words += power["count"]
+        if words > FREQUENT:
+            break
+        least = 2 ** power["power"]
+    frequent = counts.where(F.lit(False) if least is None else F.col("_n") >= least)
+    looked_up = tokens.join(F.broadcast(durable(stem_vocabulary(frequent, column, algorithm))), column, "left")
+    return (looked_up.withColumn(column, F.coalesce("stem", stem(column, algorithm)))
             .select(*tokens.columns))
 
 
@@ -48,6 +64,26 @@ def index_tokens(df: DataFrame, doc: str, text: str, stop: list[str] | None = No
     return stem_tokens(tokens, "term", stem) if stem else tokens
 
 
+def index_postings(df: DataFrame, doc: str, text: str, stop: list[str] | None = None,
+                   stem: str | None = None) -> DataFrame:
+    """(doc, term, positions) of the terms of ``index_tokens``, positions ascending. Without
+    stems a text is sorted and cut into runs of equal terms within its row, so rows that
+    share a `doc` give postings of their own; with stems a posting is one per (doc, term)."""
+    if stem:
+        tokens = index_tokens(df, doc, text, stop, stem)
+        return tokens.groupBy(doc, "term").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+
+    def runs(a: Column) -> Column:
+        first = F.transform(a, lambda x, i: F.when((i == 0) | (x["term"] != F.get(a, i - 1)["term"]), i))
+        return bound(F.filter(first, lambda i: i.isNotNull()), lambda starts: F.transform(starts, lambda at, k: F.struct(
+            F.get(a, at)["term"].alias("term"),
+            F.transform(F.slice(a, at + 1, F.coalesce(F.get(starts, k + 1), F.size(a)) - at), lambda x: x["pos"]).alias("positions"))))
+
+    in_order = F.sort_array(F.transform(_terms(text, stop), lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
+    return (df.select(doc, F.explode_outer(bound(in_order, runs)).alias("_p")).where(F.col("_p").isNotNull())
+            .select(doc, "_p.term", "_p.positions"))
+
+
 def build_index(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Postings (term, doc, tf, weight) with weight ``1 + ln(tf)``."""
     return (tokens.groupBy("term", doc).agg(F.count(F.lit(1)).alias("tf"))

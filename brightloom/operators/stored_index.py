@@ -20,7 +20,7 @@ from pyspark.sql.utils import AnalysisException
 
 from .relations import sized_join
 from .rows import top_k, top_k_per_group
-from .search import index_tokens, query_terms, term_gain
+from .search import index_postings, index_tokens, query_terms, term_gain
 
 #: Documents whose postings of one bucket share a file; hot terms spread over more files.
 DOCS_PER_FILE = 500_000
@@ -80,17 +80,20 @@ class StoredIndex:
 
     def append(self, docs: DataFrame, text: str = "text") -> int:
         """Add documents that the index does not hold yet, as a new generation. They are
-        analysed once; the one shuffle is by bucket and share of the documents. One writer
-        at a time."""
-        n = docs.count()
+        analysed once; the one shuffle takes their postings by bucket and share of the
+        documents. One writer at a time."""
+        n, ids = docs.agg(F.count(F.lit(1)), F.count_distinct(self.doc)).first()
         shards = 1 + n // DOCS_PER_FILE
         stop = None if self.stop is None else list(self.stop)
-        tokens = (index_tokens(docs, self.doc, text, stop, self.stem)
-                  .withColumns({"bucket": self._bucket(F.col("term")), "shard": F.pmod(F.xxhash64(self.doc), F.lit(shards))})
-                  .repartition("bucket", "shard"))
-        postings = tokens.groupBy("bucket", "shard", "term", self.doc).agg(
-            F.count(F.lit(1)).alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
-        return self._commit(postings, n, [])
+        share = F.pmod(F.xxhash64(self.doc), F.lit(shards))
+        postings = (index_postings(docs, self.doc, text, stop, self.stem)
+                    .repartition(self._bucket(F.col("term")), share)
+                    .withColumns({"bucket": self._bucket(F.col("term")), "shard": share}))
+        if ids < n:  # several rows make up one document
+            postings = postings.groupBy("bucket", "shard", "term", self.doc).agg(
+                F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"))
+        tf = F.size("positions").cast("long").alias("tf")
+        return self._commit(postings.select("bucket", "shard", "term", self.doc, tf, "positions"), n, [])
 
     def compact(self) -> int:
         """Write all generations as one; the old ones stay on disk and count no more."""

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.porter import stem_array
 from ..functions.strings import is_digits, split_whitespace
+from ..functions.values import bound
 from ..functions.wordlists import NEGATION_ENDING, NEGATION_WORDS
 from .relations import remove_listed, sized_join
 from .rows import top_k
@@ -73,11 +72,6 @@ def is_negation(word: Column, words: list[str] | None = None, ending: str = NEGA
 FADE = [1 - 0.1 * d for d in range(10)]
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with `value` computed once, also where lambdas in `use` refer to it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _scored_words(words: Column, negations: list[str] | None) -> Column:
     """(word, left, right, pos) of every word of an array. A score fades to 0 within ten
     words, so each word looks at nine neighbours on either side."""
@@ -85,11 +79,11 @@ def _scored_words(words: Column, negations: list[str] | None) -> Column:
         return F.coalesce(*[F.when(F.get(flags, at + side * d), F.lit(v)) for d, v in enumerate(FADE)], F.lit(0.0))
 
     def scored(words: Column) -> Column:
-        return _bound(F.transform(words, lambda w: is_negation(w, negations)), lambda flags: F.transform(
+        return bound(F.transform(words, lambda w: is_negation(w, negations)), lambda flags: F.transform(
             words, lambda w, i: F.struct(w.alias("word"), near(flags, i, -1).alias("left"),
                                          near(flags, i, 1).alias("right"), i.alias("pos"))))
 
-    return _bound(words, scored)
+    return bound(words, scored)
 
 
 def negation_scores(tokens: DataFrame, doc: str, negations: list[str] | None = None,
@@ -120,7 +114,7 @@ def negation_features(tokens: DataFrame, doc: str, negations: list[str] | None =
     if words is not None:
         by_word = F.sort_array(F.transform(_scored_words(words, negations), lambda t: F.struct(
             t["word"].alias("word"), t["pos"].alias("pos"), t["left"].alias("left"), t["right"].alias("right"))))
-        kept = _bound(by_word, lambda a: F.filter(a, lambda t, i: ~t["word"].eqNullSafe(F.get(a, i + 1)["word"])))
+        kept = bound(by_word, lambda a: F.filter(a, lambda t, i: ~t["word"].eqNullSafe(F.get(a, i + 1)["word"])))
         last = (tokens.select(doc, F.explode_outer(kept).alias("s")).where(F.col("s").isNotNull())
                 .select(doc, "s.word", "s"))
     else:

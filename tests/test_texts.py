@@ -3,6 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from brightloom import runtime
+from brightloom.functions import porter
 from brightloom.operators import search as Q, words as W
 from brightloom.operators.relations import docs_with_all, phrase_match
 from brightloom.operators.stored_index import StoredIndex
@@ -159,3 +161,40 @@ def test_negations_within_the_row_equal_windows_and_move_nothing(spark):
         want = fn(tokens, "doc", ["not"])
         assert sorted(map(tuple, inside.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
         assert "Exchange" not in inside._jdf.queryExecution().executedPlan().toString()
+
+
+def test_postings_within_the_row_equal_grouped_tokens(spark, tmp_path):
+    rows = [(1, "one two one, Two three one"), (2, ""), (3, None), (4, "x"), (5, " ".join(f"w{'abc'[i % 3]} same" for i in range(400))),
+            (6, "the and of")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Q.index_tokens(df, "doc_id", "text").groupBy("doc_id", "term").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    got = Q.index_postings(df, "doc_id", "text")
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    twice = spark.createDataFrame([(1, "alpha beta"), (1, "beta gamma beta")], "doc_id long, text string")
+    index = StoredIndex(spark, f"{tmp_path}/twice")
+    index.append(twice)
+    assert {r.term: (r.tf, list(r.positions)) for r in index._read("postings").collect()} == {
+        "alpha": (1, [0]), "beta": (3, [0, 1, 2]), "gamma": (1, [1])}
+
+
+@pytest.mark.parametrize("frequent", [0, 2, 400_000])
+def test_stems_leave_the_tokens_where_they_are(spark, monkeypatch, frequent):
+    monkeypatch.setattr(Q, "FREQUENT", frequent)
+    monkeypatch.setattr("brightloom.operators.relations.BROADCAST_BYTES", -1)
+    words = ["running", "running", "running", "connections", "connections", "connections", "skies", "generalisation"]
+    tokens = spark.createDataFrame(list(enumerate(words)), "pos int, term string")
+    got = Q.stem_tokens(tokens, "term", "porter")
+    want = tokens.withColumn("term", porter.stem("term"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_tables_come_in_parts_that_do_not_grow(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runtime, "SPREAD_BYTES", 2_000)
+    spark.range(3000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1) \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    docs = runtime.Tables(spark, str(tmp_path)).spread("documents", "doc_id")
+    assert docs.rdd.getNumPartitions() > 50 and docs.count() == 3000
+    index = Q.build_index(Q.index_tokens(docs, "doc_id", "text"))
+    assert index._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
