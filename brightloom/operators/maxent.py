@@ -15,8 +15,8 @@ from .relations import sized_join
 
 @dataclass(frozen=True)
 class MaxentModel:
-    """`weights`: (_feature, _w) with a weight per label, null where a feature was never
-    seen with it. `slack`: the weight of what is missing to `most` features."""
+    """`weights`: (_feature, _hot, _w) with a weight per label, null where a feature was never
+    seen with it; `_hot` marks the few that a great part of the entries has. `slack`: the weight of what is missing to `most` features."""
 
     doc: str
     labels: list
@@ -27,7 +27,13 @@ class MaxentModel:
     def predict(self, features: DataFrame) -> DataFrame:
         """(doc, prediction, probability) for the documents of a (doc, feature, value) table;
         features that training never saw play no part."""
-        known = sized_join(_named(features, self.doc), self.weights, ["_feature"], "left")
+        named = durable(_named(features, self.doc))
+        few = F.broadcast(self.weights.where("_hot").select("_feature", "_w"))
+        marked = named.join(few, "_feature", "left")
+        rare = marked.where("_w is null").drop("_w").join(self.weights.where("not _hot").select("_feature", "_w"), "_feature")
+        every = named.select(self.doc).distinct().withColumn("_feature", F.lit(None).cast("string"))
+        known = (marked.where("_w is not null").unionByName(rare).unionByName(every, allowMissingColumns=True)
+                 .withColumn("_m", F.lit(1)))
         scored = _scores(known, self.doc, self.slack, self.most, len(self.labels))
         best = F.array_max(F.array(*[F.struct(F.col(f"_p{i}").alias("p"), F.lit(-i).alias("at")) for i in range(len(self.labels))]))
         kinds = F.array(*[F.lit(label) for label in self.labels])
@@ -45,12 +51,17 @@ def _sum(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
+def _held(weight: Column) -> Column:
+    """How many features have a weight."""
+    return F.coalesce(F.sum(F.when(weight.isNotNull(), F.col("_m"))), F.lit(0))
+
+
 def _scores(known: DataFrame, doc: str, slack: float, most: int, n: int) -> DataFrame:
-    """(doc, _p0, _p1, …, _s0, …) from entries with their weights: probability of each label,
-    and what is missing to `most` features of it. Without any known feature chances are even."""
+    """(doc, _p0, _p1, …, _s0, …) from entries with their weights and the number `_m` of features
+    that each stands for: probability of each label, and what is missing to `most` features of it. Without any known feature chances are even."""
     w = [F.get("_w", F.lit(i)) for i in range(n)]
-    totals = known.groupBy(doc).agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(f"_t{i}") for i, c in enumerate(w)],
-                                    *[F.count(c).alias(f"_k{i}") for i, c in enumerate(w)])
+    totals = known.groupBy(doc).agg(*[F.coalesce(F.sum(c * F.col("_m")), F.lit(0.0)).alias(f"_t{i}") for i, c in enumerate(w)],
+                                    *[_held(c).alias(f"_k{i}") for i, c in enumerate(w)])
     missing = [F.greatest(F.lit(most) - F.col(f"_k{i}"), F.lit(0)) for i in range(n)]
     logs = [F.col(f"_t{i}") + slack * missing[i] for i in range(n)]
     top = F.greatest(*logs) if n > 1 else logs[0]
@@ -62,8 +73,11 @@ def _scores(known: DataFrame, doc: str, slack: float, most: int, n: int) -> Data
 def fit_maxent(features: DataFrame, labels: DataFrame, doc: str, label: str = "label", rounds: int = 25) -> MaxentModel:
     """Fit on the documents that both (doc, feature, value) and (doc, label) know.
 
-    Every feature gets a number from its place in the order of all distinct features, so
-    none share one. A round of scaling is two joins and two aggregations: weights meet the
+    Features of just the same documents have the same counts, so the same weight in every
+    round: they are fitted as one, which an entry counts as often as there are such features.
+    That takes the many that one document has alone, and what copies share. Their documents
+    are compared by number, least, greatest and two 64-bit sums of hashes. Every such
+    class gets a number from the place of its first feature in their order. A round of scaling is two joins and two aggregations: weights meet the
     entries and add up per document, probabilities go back to the entries and add up to
     the expected count of each feature and label, and a weight moves by the logarithm of
     observed over expected count, divided by the largest number of features of a document.
@@ -79,16 +93,22 @@ def fit_maxent(features: DataFrame, labels: DataFrame, doc: str, label: str = "l
     parts = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("_label")).cast("int") - 1
     named = durable(_named(features, doc).join(known.select(doc, at.alias("_at")), doc))
-    total = named.count()
     counts = [F.count_if(F.col("_at") == i).cast("double") for i in range(n)]
-    found = durable(named.groupBy("_feature").agg(F.array(*[F.when(c > 0, c) for c in counts]).alias("_seen"),
-                                                  (F.count(F.lit(1)) * 4 * parts > total).alias("_hot")))
-    numbered = durable(number_rows(found, ["_feature"], "_id"))
-    entries = durable(sized_join(named, numbered.select("_feature", "_id", "_hot"), ["_feature"]).select(doc, "_id", "_hot", "_at"))
-    rare = entries.where("not _hot").select(doc, "_id").repartition(parts, "_id").persist()
-    hot = entries.where("_hot").select(doc, "_id").persist()
+    found = durable(named.groupBy("_feature").agg(
+        F.array(*[F.when(c > 0, c) for c in counts]).alias("_seen"), F.count(F.lit(1)).alias("_docs"), F.min(doc).alias("_least"),
+        F.max(doc).alias("_greatest"), *[F.bit_xor(F.xxhash64(F.lit(i), doc)).alias(f"_sum{i}") for i in (1, 2)]))
+    alike = ["_docs", "_least", "_greatest", "_sum1", "_sum2"]
+    classes = durable(found.groupBy(*alike).agg(F.min("_feature").alias("_first"), F.count(F.lit(1)).alias("_m"),
+                                                F.first("_seen").alias("_seen")))
+    total = classes.agg(F.sum("_docs")).first()[0] or 0
+    numbered = durable(number_rows(classes.withColumn("_hot", F.col("_docs") * 4 * parts > total), ["_first"], "_id"))
+    alone = numbered.where("_docs = 1").select(F.col("_least").alias(doc), "_id", "_hot", "_m")
+    shared = numbered.where("_docs > 1").select(F.col("_first").alias("_feature"), "_id", "_hot", "_m")
+    entries = durable(sized_join(named.select(doc, "_feature"), shared, ["_feature"]).drop("_feature").unionByName(alone))
+    rare = entries.where("not _hot").drop("_hot").repartition(parts, "_id").persist()
+    hot = entries.where("_hot").drop("_hot").persist()
     by_doc = entries.select(doc, "_id").repartition(parts, doc).persist()
-    target = durable(entries.select(doc, "_at").distinct())
+    target = durable(named.select(doc, "_at").distinct())
 
     def weighted(weights: DataFrame) -> DataFrame:
         few = F.broadcast(weights.where("_hot").select("_id", "_w"))  # fewer than 4 per partition
@@ -97,7 +117,7 @@ def fit_maxent(features: DataFrame, labels: DataFrame, doc: str, label: str = "l
 
     try:
         weights = durable(numbered.select("_id", "_hot", "_seen", F.transform("_seen", lambda c: c * 0.0).alias("_w")))
-        sizes = weighted(weights).groupBy(doc).agg(*[F.count(F.get("_w", F.lit(i))).alias(f"_k{i}") for i in range(n)])
+        sizes = weighted(weights).groupBy(doc).agg(*[_held(F.get("_w", F.lit(i))).alias(f"_k{i}") for i in range(n)])
         most = sizes.agg(F.max(F.greatest(*[F.col(f"_k{i}") for i in range(n)], F.lit(0)))).first()[0]
         if most is None:
             raise ValueError("no document has both features and a label")
@@ -114,5 +134,5 @@ def fit_maxent(features: DataFrame, labels: DataFrame, doc: str, label: str = "l
     finally:
         for kept in (rare, hot, by_doc):
             kept.unpersist()
-    return MaxentModel(doc, kinds, durable(numbered.select("_feature", "_id").join(weights.select("_id", "_w"), "_id").select("_feature", "_w")),
-                       slack, most)
+    fitted = numbered.select(*alike, "_id", "_hot").join(weights.select("_id", "_w"), "_id").drop("_id")
+    return MaxentModel(doc, kinds, durable(found.drop("_seen").join(fitted, alike).select("_feature", "_hot", "_w")), slack, most)

@@ -83,3 +83,22 @@ def test_classifier_on_whole_bags(spark):
     assert {"has(good)=1.0", "has(not,good,at)=1.0", "neg_l(good)=0.9", "neg_r(good)=0.0"} <= names
     got = {r["id"]: r["prediction"] for r in predict(texts).collect()}
     assert len(got) == 22 and all(got[i] == i % 2 for i in range(20)) and got[20] is None
+
+
+def test_features_of_the_same_documents_are_fitted_as_one(spark, monkeypatch):
+    import brightloom.operators.maxent as maxent
+
+    sizes = []
+    numbered = maxent.number_rows
+    monkeypatch.setattr(maxent, "number_rows", lambda df, *a: sizes.append(df.count()) or numbered(df, *a))
+    rows = [(d, f"own{d}_{i}", 1.0) for d in range(6) for i in range(20)] + [(d, f"both{i}", 1.0) for d in (0, 1) for i in range(5)]
+    rows += [(d, "all", 1.0) for d in range(6)]
+    bags = defaultdict(set)
+    for d, f, v in rows:
+        bags[d].add(f"{f}={v}")
+    labels = {d: "ab"[d % 2] for d in range(6)}
+    table = spark.createDataFrame(list(labels.items()), "doc long, label string")
+    model = fit_maxent(spark.createDataFrame(rows, "doc long, feature string, value double"), table, "doc", rounds=4)
+    want, slack, most, kinds = brute_force(bags, labels, 4)
+    got = {(r["_feature"], k): w for r in model.weights.collect() for k, w in zip(kinds, r["_w"]) if w is not None}
+    assert sizes == [8] and model.most == most and model.slack == pytest.approx(slack) and got == pytest.approx(want)
