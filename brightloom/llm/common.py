@@ -107,13 +107,15 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def forget(df: DataFrame) -> None:
-    """Delete a scratch table that no later plan reads. Only paths that ``durable`` made."""
+    """Delete a scratch table that no later plan reads. Only paths that ``durable`` made,
+    whether the shared folder is given as a path or as a URI of any form."""
     spark = df.sparkSession
-    base = shared_folder(spark).rstrip("/").split(":")[-1]
+    java = spark._jvm
+    plain = lambda uri: java.org.apache.hadoop.fs.Path(uri).toUri().getPath()
+    base = plain(shared_folder(spark))
     for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        folder = file.split(":")[-1].replace("///", "/")
-        if base in folder and "/table-" in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path = java.org.apache.hadoop.fs.Path(java.java.net.URI(file))
+        if path.toUri().getPath().startswith(f"{base}/table-"):
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brightloom.runtime import durable
 
-from .common import arrow_pass, as_long, fold_of, only, texts_of, word_hashes
+from .common import ROWS, arrow_pass, as_long, fold_of, forget, only, texts_of, word_hashes
 
 DEPTH = 5
 #: No byte of UTF-8: stands before a text, as context, and after it, as its end.
@@ -40,15 +40,19 @@ def _tokens(words: list[bytes]) -> np.ndarray:
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, ascending, with the sum of its counts; the parts are ascending and not empty."""
     keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    keys, at = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(at, counts, len(keys)).astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(counts[order], first)
 
 
 def _count(batches):
-    """Training counts of all keys and words; those of other rows come with a count of 0."""
+    """Training counts of all keys and words; those of other rows come with a count of 0.
+    A worker holds the keys of ROWS texts one by one, those of more as distinct keys."""
     parts: dict[int, list] = {BYTES: [], WORDS: []}
-    for batch in batches:
+    for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
         learn = batch.column("learn").to_pylist()
         per: dict[tuple[int, bool], list] = {}
         for text, train in zip(texts_of(batch), learn, strict=True):
@@ -94,13 +98,16 @@ def _bits() -> Column:
 
 
 def key_scores(counts: DataFrame) -> DataFrame:
-    """(key, n, value): the natural log of the probability of each key's byte after its context.
+    """(key, n, value), written: the natural log of the probability of each key's byte after its context.
 
     Each context of each length up to DEPTH has a binary tree of its own over the next
     byte. From the longest contexts up, a node's probability is the mean of its own KT
     estimate and of the product of the contexts one byte longer; down again this gives
     each length its posterior weight, and a bit's probability is the mixture of the KT
-    predictions of all lengths. Contexts without training counts predict evenly."""
+    predictions of all lengths. Contexts without training counts predict evenly.
+
+    The predictions are written before the keys look them up, and replace the trees: their
+    shuffle files and those of the look-up are not on disk together."""
     steps = counts.select("key", "n", _bits().alias("x")).select(
         F.shiftright("key", 8).alias("context"), F.col("x.node").alias("node"), "x.bit", "n")
     level = durable(steps.groupBy("context", "node").agg(
@@ -126,16 +133,21 @@ def key_scores(counts: DataFrame) -> DataFrame:
                 .join(path.select(F.col("context").alias("parent"), "node", "p", "rest"), ["parent", "node"])
                 .select("context", "node", (F.col("p") + F.col("rest") * F.col("stop") * F.col("one")).alias("p"),
                         (F.col("rest") * (1 - F.col("stop"))).alias("rest")))
+    path = durable(path.select("context", "node", "p"))
+    for level in levels:
+        forget(level)
     p = F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p"))
     wanted = counts.select("key", "n", _bits().alias("x")).select(
         "key", "n", F.shiftright("key", 8).alias("context"), F.col("x.node").alias("node"), "x.bit")
-    return wanted.join(path.select("context", "node", "p"), ["context", "node"]).groupBy("key").agg(
-        F.first("n").alias("n"), F.sum(F.log(p)).alias("value"))
+    values = durable(wanted.join(path, ["context", "node"]).groupBy("key").agg(
+        F.first("n").alias("n"), F.sum(F.log(p)).alias("value")))
+    forget(path)
+    return values
 
 
 @dataclass
 class LanguageModel:
-    """`values`: (kind, key, n, value) of every key and word of the corpus, a written table.
+    """`values`: (kind, key, n, value) of every key and word of the corpus, from written tables.
     `held`: the most frequent of them as hash tables, of bounded size, on every worker."""
 
     values: DataFrame
@@ -198,8 +210,8 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     words = counts.where(F.col("kind") == WORDS)
     total, distinct = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
     scores = key_scores(counts.where(F.col("kind") == BYTES).select("key", "n"))
-    values = durable(scores.select(F.lit(BYTES).alias("kind"), "key", "n", "value").unionByName(
-        words.select("kind", "key", "n", F.col("n").cast("double").alias("value"))))
+    values = scores.select(F.lit(BYTES).alias("kind"), "key", "n", "value").unionByName(
+        words.select("kind", "key", "n", F.col("n").cast("double").alias("value")))
     tables = {}
     bucket = F.floor(4 * F.log2(F.col("n") + 1))
     sizes = values.groupBy("kind", bucket.alias("bucket")).count().collect()

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPREAD_BYTES = 16 * 1024 * 1024  # of files that one task takes of a spread table
 
 SESSION_DEFAULTS = {
@@ -58,10 +59,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the shared folder and go on from the written rows.
-    Unlike a checkpoint the table is columnar, and Spark knows its size."""
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    Unlike a checkpoint the table is columnar, and Spark knows its size. The write's shuffle
+    files go when it ends, not with some later collection of the driver's garbage; a session
+    that has a setting for this keeps it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    unset = spark.conf.get(TIDY, None) is None
+    if unset:
+        spark.conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if unset:
+            spark.conf.unset(TIDY)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Tables:
