@@ -41,10 +41,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that also stand elsewhere. Texts that lose nothing
     stay as they are, null ones too; others keep their remaining words, joined by one space,
     and `n_chars` follows where there is such a column. Other columns, whatever their names,
-    pass through; no rows give no rows."""
+    pass through; no rows give no rows. The texts that lose words are written before the
+    documents take them, so that the texts' two shuffles are not on disk together."""
     first, second, kept = (_unused(docs, name) for name in ("_k1", "_k2", "_kept"))
-    cut = without_repeats(docs).where("n_removed > 0").select(
-        F.col("k1").alias(first), F.col("k2").alias(second), F.col("kept").alias(kept))
+    cut = durable(without_repeats(docs).where("n_removed > 0").select(
+        F.col("k1").alias(first), F.col("k2").alias(second), F.col("kept").alias(kept)))
     joined = text_keys(docs, names=(first, second)).join(cut, [first, second], "left")
     changed = {"text": F.coalesce(kept, "text")}
     if "n_chars" in docs.columns:

@@ -65,3 +65,18 @@ def test_language_model_keeps_only_the_tables_it_looks_up(spark, tmp_path, monke
     held = language_model.score_texts(docs, language_model.fit_language_model(docs))
     values = [{r.doc_id: (r.n_known, r.base_score, r.score) for r in x.collect()} for x in (got, held)]
     assert all(a == pytest.approx(values[1][k], rel=1e-5) for k, a in values[0].items()) and len(values[0]) == 40
+
+
+def test_cutting_stage_shuffles_the_texts_one_after_the_other(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from brightloom import runtime
+    from brightloom.llm import common
+
+    for module in (runtime, common):
+        monkeypatch.setattr(module, "shared_folder", lambda spark: f"file://{tmp_path}")
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = spark.createDataFrame([(0, passage + " tail"), (1, "head " + passage), (2, "alone"), (3, None)], "doc_id long, text string")
+    got = corpus_pipeline.cut_repeats(spark, docs, "")
+    assert "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString()  # the texts are cut already
+    assert len(tables(tmp_path)) == 3  # whole and extended repeats, and the cut texts
+    assert {r.doc_id: r.text for r in got.collect()} == {0: "tail", 1: "head", 2: "alone", 3: None}
