@@ -24,6 +24,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..runtime import scratch_path
+from . import forest
 from .evaluate import r2_of
 
 DEEPEST = 30  # Spark's limit on tree depth
@@ -323,7 +324,7 @@ EXTRA_SPACE = product_grid(max_depth=[int(d) for d in np.linspace(20, 100, 8)] +
 
 @dataclass
 class Searched:
-    model: Model
+    model: Model | forest.ForestModel
     best: dict
     validation_r2: float
     train_r2: float
@@ -352,11 +353,53 @@ def grid_search(estimator: Estimator, grid: list[dict], df: DataFrame, keys: lis
         data.unpersist()
 
 
+IN_ONE_TASK = 20_000  # rows that a task may hold to grow trees over
+
+
+def _few_rows(estimator: Estimator, df: DataFrame, fold: Column) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Features, labels and folds, if they are few enough for trees that are grown within a task."""
+    if not isinstance(estimator, (DecisionTreeRegressor, RandomForestRegressor)) or df.count() > IN_ONE_TASK:
+        return None
+    rows = df.select(vector_to_array("features").alias("x"), "label", fold.alias("fold")).toPandas()
+    return (np.array(rows["x"].tolist(), float).reshape(len(rows), -1), rows["label"].to_numpy(float), rows["fold"].to_numpy(int))
+
+
+def _growth(estimator: DecisionTreeRegressor | RandomForestRegressor, params: dict) -> tuple[forest.Growth, int]:
+    whole = estimator.copy({estimator.getParam(n): v for n, v in params.items()})
+    if isinstance(whole, DecisionTreeRegressor):
+        return forest.Growth(whole.getMaxDepth(), whole.getMinInstancesPerNode(), "all", False, whole.getSeed()), 1
+    return forest.Growth(whole.getMaxDepth(), whole.getMinInstancesPerNode(), whole.getFeatureSubsetStrategy(),
+                         whole.getBootstrap(), whole.getSeed()), whole.getNumTrees()
+
+
+def fit_trees(estimator: DecisionTreeRegressor | RandomForestRegressor, params: dict, df: DataFrame) -> Model | forest.ForestModel:
+    """A tree or forest with these parameters: by tasks that hold the whole table, or by Spark where it is large."""
+    few = _few_rows(estimator, df, F.lit(0))
+    if few is None:
+        return estimator.copy({estimator.getParam(n): v for n, v in params.items()}).fit(df)
+    return forest.fit(df.sparkSession, *few[:2], *_growth(estimator, params))
+
+
 def random_search(estimator: Estimator, space: list[dict], df: DataFrame, keys: list[str],
-                  n_iter: int = 10, seed: int = 42, **kwargs) -> Searched:
-    """`grid_search` over a seeded sample of the space."""
-    return grid_search(estimator, random.Random(seed).sample(space, min(n_iter, len(space))), df, keys,
-                       **kwargs)
+                  n_iter: int = 10, seed: int = 42, folds: int = 5, **kwargs) -> Searched:
+    """`grid_search` over a seeded sample of the space. Forests over few rows are grown within
+    tasks, all candidates and folds at once."""
+    grid = random.Random(seed).sample(space, min(n_iter, len(space)))
+    few = _few_rows(estimator, df, bucket_of(keys, folds))
+    if few is None:
+        return grid_search(estimator, grid, df, keys, folds, **kwargs)
+    x, y, fold = few
+    grid = [params for i, params in enumerate(grid) if params not in grid[:i]]
+    found = forest.held_out_predictions(df.sparkSession, x, y, fold, folds, [_growth(estimator, params) for params in grid])
+    scores = [float(np.mean([_r2(y[fold == k], held_out) for k, held_out in enumerate(each)])) for each in found]
+    at = int(np.argmax(scores))
+    model = fit_trees(estimator, grid[at], df)
+    return Searched(model, grid[at], scores[at], float(RegressionEvaluator(metricName="r2").evaluate(model.transform(df))),
+                    list(zip(grid, scores)))
+
+
+def _r2(label: np.ndarray, prediction: np.ndarray) -> float:
+    return 1 - ((label - prediction) ** 2).sum() / ((label - label.mean()) ** 2).sum()
 
 
 def _cut_predictions(model: Model, depths: list[int]) -> list[Column]:
@@ -382,16 +425,17 @@ def _cut_predictions(model: Model, depths: list[int]) -> list[Column]:
 def fit_tree_cv(df: DataFrame, keys: list[str], space: list[dict] = TREE_SPACE, folds: int = 5,
                 seed: int = 0, parallelism: int = 4) -> Searched:
     """k-fold search over trees. Candidates that differ in depth alone share a fit per fold:
-    the deepest is grown, and all depths are scored on the held-out fold in one pass.
-    Features have to be continuous."""
+    the deepest is grown, and all depths are scored on the held-out fold in one pass. Over few
+    rows all of them are grown by one job. Features have to be continuous."""
     mapped = [tree_params(**p) for p in space]
     maps = [p for i, p in enumerate(mapped) if p not in mapped[:i]]
     leaves = sorted({p["minInstancesPerNode"] for p in maps})
+    depths_of = {least: [p["maxDepth"] for p in maps if p["minInstancesPerNode"] == least] for least in leaves}
     data = df.withColumn("fold", bucket_of(keys, folds, seed)).persist()
 
     def scores(job: tuple[int, int]) -> list[float]:
         least, fold = job
-        depths = [p["maxDepth"] for p in maps if p["minInstancesPerNode"] == least]
+        depths = depths_of[least]
         tree = decision_tree().setMaxDepth(max(depths)).setMinInstancesPerNode(least)
         cut = _cut_predictions(tree.fit(data.where(F.col("fold") != fold)), depths)
         held_out = data.where(F.col("fold") == fold).select("label", *[c.alias(f"p{i}") for i, c in enumerate(cut)])
@@ -399,8 +443,16 @@ def fit_tree_cv(df: DataFrame, keys: list[str], space: list[dict] = TREE_SPACE,
 
     try:
         jobs = [(least, fold) for least in leaves for fold in range(folds)]
-        with ThreadPool(parallelism) as pool:
-            found = dict(zip(jobs, pool.map(inheritable_thread_target(df.sparkSession)(scores), jobs)))
+        few = _few_rows(decision_tree(), data, F.col("fold"))
+        if few is None:
+            with ThreadPool(parallelism) as pool:
+                found = dict(zip(jobs, pool.map(inheritable_thread_target(df.sparkSession)(scores), jobs)))
+        else:
+            x, y, fold_of = few
+            growths = [_growth(decision_tree(), {"maxDepth": max(depths_of[least]), "minInstancesPerNode": least})[0] for least in leaves]
+            held_out = forest.held_out_depths(df.sparkSession, x, y, fold_of, folds, [(g, depths_of[least]) for g, least in zip(growths, leaves)])
+            found = {(least, fold): [_r2(y[fold_of == fold], values) for values in held_out[i][fold]]
+                     for i, least in enumerate(leaves) for fold in range(folds)}
         results = []
         for least in leaves:
             same = [p for p in maps if p["minInstancesPerNode"] == least]
@@ -408,7 +460,7 @@ def fit_tree_cv(df: DataFrame, keys: list[str], space: list[dict] = TREE_SPACE,
             results += list(zip(same, map(float, means)))
         results.sort(key=lambda r: maps.index(r[0]))
         best, r2 = max(results, key=lambda r: r[1])
-        model = decision_tree().setParams(**best).fit(data)
+        model = fit_trees(decision_tree(), best, data)
         return Searched(model, best, r2, float(RegressionEvaluator(metricName="r2").evaluate(model.transform(data))), results)
     finally:
         data.unpersist()

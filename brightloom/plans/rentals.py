@@ -88,17 +88,16 @@ class Fitted:
             return (M.fit_ols(rows, self.features, self.label) if self.kind == "ols"
                     else M.fit_ridge_cv(rows, self.features, self.label, keys, [self.model.penalty]))
         estimator = {"tree": M.decision_tree, "forest": M.random_forest, "extra": M.extra_trees}[self.kind]()
-        params = {estimator.getParam(n): v for n, v in self.model.best.items()}
-        return estimator.copy(params).fit(M.assemble(rows, self.features, self.label))
+        return M.fit_trees(estimator, self.model.best, M.assemble(rows, self.features, self.label))
 
 
 SCORES = "approach string, accuracy double"
 
 
 def at_once(df: DataFrame, fn: Callable, jobs: list) -> list:
-    """`fn` of every job. The fits of an experiment are many short jobs that don't wait for
-    each other, so several of them share the executors."""
-    with ThreadPool(max(1, min(len(jobs), 4))) as pool:
+    """`fn` of every job. The fits of an experiment don't wait for each other, so a few of them
+    share the executors; each takes memory of the driver."""
+    with ThreadPool(max(1, min(len(jobs), 2))) as pool:
         return pool.map(inheritable_thread_target(df.sparkSession)(fn), jobs, 1)
 
 
