@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.porter import stem_array
 from ..functions.strings import is_digits, split_whitespace
@@ -41,6 +47,17 @@ def plain_tokens(text: Column | str, stem: str | None = None) -> Column:
     return stem_array(words, stem) if stem else words
 
 
+#: Bytes that white space becomes, and those that leave a text. In UTF-8 other than ASCII characters have none of the bytes that stay.
+_SPACE = bytes.maketrans(b"\t\n\v\f\r", b"     ")
+_OTHER = bytes(c for c in range(256) if not (c < 128 and chr(c).isalnum() or c in b" \t\n\v\f\r"))
+
+
+def _token_lists(texts: pa.Array) -> pa.ListArray:
+    """`plain_tokens` of a batch of texts."""
+    words = [None if t is None else t.translate(_SPACE, _OTHER).split() for t in texts.cast(pa.binary()).to_pylist()]
+    return pa.array(words, pa.list_(pa.binary())).cast(pa.list_(pa.string()))
+
+
 def word_tokens(df: DataFrame, doc: str, text: str, stem: str | None = None) -> DataFrame:
     """(doc, pos, word): the words of ``plain_tokens`` as rows; stems are looked up by word."""
     tokens = positions_of(df, [doc], plain_tokens(text), "word")
@@ -55,13 +72,71 @@ def ngrams(tokens: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+TOKENS = 200_000  # of the documents whose features are made together
+CHARS = 5  # for each token, about
+
+
+def _feature_rows(df: DataFrame, doc: str, source: Column, *families: Callable) -> DataFrame:
+    """(doc, feature, value) from (doc, array of words), or (doc, text) of which `plain_tokens` are
+    taken. A family gets the words of some documents, as codes, the document of each and the
+    dictionary, and yields documents, names and values."""
+    schema = StructType([StructField(doc, df.schema[doc].dataType), StructField("feature", StringType()), StructField("value", DoubleType())])
+
+    def some_rows(docs: pa.Array, lists: pa.ListArray) -> Iterator[pa.RecordBatch]:
+        coded = lists.flatten().dictionary_encode()
+        row = np.repeat(np.arange(len(docs)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        for family in families if len(row) else ():
+            for at, names, values in family(coded.indices.to_numpy().astype("int64"), row, coded.dictionary):
+                yield pa.RecordBatch.from_arrays([docs.take(pa.array(at)), names, pa.array(values)], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, given = batch.column(0), batch.column(1)
+            listed = pa.types.is_list(given.type)
+            size = pc.list_value_length(given) if listed else pc.divide(pc.binary_length(given), CHARS)
+            ends = np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False))
+            first = 0
+            while first < len(ends):
+                last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + TOKENS, "right")))
+                some = given.slice(first, last - first)
+                yield from some_rows(docs.slice(first, last - first), some if listed else _token_lists(some))
+                first = last
+
+    return df.select(doc, source.alias("_source")).mapInArrow(run, schema)
+
+
+def _firsts(row: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The first place of each code in its document."""
+    return np.unique(row * (code.max() + 1) + code, return_index=True)[1]
+
+
+def _joined(*parts: pa.Array | str, by: str = "") -> pa.Array:
+    return pc.binary_join_element_wise(*parts, by).cast(pa.string())
+
+
+def _ngrams(n: int) -> Callable:
+    def family(code: np.ndarray, row: np.ndarray, words: pa.Array) -> Iterator[tuple]:
+        gram, names = code, words
+        for k in range(n):
+            if k:  # every gram of k words with the word that follows it in its document
+                on = np.flatnonzero(row[k:] == row[:len(row) - k])
+                if not len(on):
+                    return
+                pairs, gram = np.unique(gram[on] * len(words) + code[on + k], return_inverse=True)
+                whole = np.full(len(row) - k, -1)
+                whole[on] = gram
+                gram, names = whole, _joined(names.take(pa.array(pairs // len(words))), words.take(pa.array(pairs % len(words))), by=",")
+            there = np.flatnonzero(gram >= 0)
+            there = there[_firsts(row[there], gram[there])]
+            yield row[there], _joined("has(", names, ")").take(pa.array(gram[there])), np.ones(len(there))
+
+    return family
+
+
 def ngram_features(df: DataFrame, doc: str, tokens: str, n: int = 3) -> DataFrame:
     """Presence features ``has(a)``, ``has(a,b)``, … as (doc, feature, value = 1).
     A document's features are made distinct within its row."""
-    grams = F.array_distinct(F.concat(*[ngrams(F.col(tokens), k) for k in range(1, n + 1)]))
-    named = F.transform(grams, lambda g: F.concat(F.lit("has("), g, F.lit(")")))
-    return (positions_of(df, [doc], named, "feature")
-            .select(doc, "feature", F.lit(1.0).alias("value")))
+    return _feature_rows(df, doc, F.col(tokens), _ngrams(n))
 
 
 def is_negation(word: Column, words: list[str] | None = None, ending: str = NEGATION_ENDING) -> Column:
@@ -106,20 +181,33 @@ def negation_scores(tokens: DataFrame, doc: str, negations: list[str] | None = N
             .withColumn("right", fade(after - F.col("pos"))).drop("_at"))
 
 
+def _negations(negations: list[str] | None) -> Callable:
+    listed, ending = NEGATION_WORDS if negations is None else negations, NEGATION_ENDING
+    fade = np.array([*FADE, 0.0])
+
+    def family(code: np.ndarray, row: np.ndarray, words: pa.Array) -> Iterator[tuple]:
+        negates = np.array([w in listed or ending in w for w in words.to_pylist()], bool)[code]
+        place, far = np.arange(len(row)), len(FADE)
+        before = np.maximum.accumulate(np.where(negates, place, -far))
+        after = np.minimum.accumulate(np.where(negates, place, len(row) + far)[::-1])[::-1]
+        last = len(row) - 1 - _firsts(row[::-1], code[::-1])
+        for side, near in (("neg_l(", before), ("neg_r(", after)):
+            inside = row[np.clip(near, 0, len(row) - 1)] == row
+            away = np.where(inside, np.minimum(np.abs(place - near), far), far)
+            yield row[last], _joined(side, words, ")").take(pa.array(code[last])), fade[away[last]]
+
+    return family
+
+
 def negation_features(tokens: DataFrame, doc: str, negations: list[str] | None = None,
                       words: Column | None = None) -> DataFrame:
     """``neg_l(word)`` and ``neg_r(word)`` per document; a repeated word keeps the
-    value at its last position. `words` as in `negation_scores`: then a document's words
-    are sorted within its row and the last of equal ones is kept, nothing is moved."""
+    value at its last position. `words` as in `negation_scores`: then all is found within
+    the document's row, nothing is moved."""
     if words is not None:
-        by_word = F.sort_array(F.transform(_scored_words(words, negations), lambda t: F.struct(
-            t["word"].alias("word"), t["pos"].alias("pos"), t["left"].alias("left"), t["right"].alias("right"))))
-        kept = bound(by_word, lambda a: F.filter(a, lambda t, i: ~t["word"].eqNullSafe(F.get(a, i + 1)["word"])))
-        last = (tokens.select(doc, F.explode_outer(kept).alias("s")).where(F.col("s").isNotNull())
-                .select(doc, "s.word", "s"))
-    else:
-        last = (negation_scores(tokens, doc, negations).groupBy(doc, "word")
-                .agg(F.max_by(F.struct("left", "right"), "pos").alias("s")))
+        return _feature_rows(tokens, doc, words, _negations(negations))
+    last = (negation_scores(tokens, doc, negations).groupBy(doc, "word")
+            .agg(F.max_by(F.struct("left", "right"), "pos").alias("s")))
     pairs = F.array(
         F.struct(F.concat(F.lit("neg_l("), F.col("word"), F.lit(")")).alias("feature"),
                  F.col("s.left").alias("value")),
@@ -143,8 +231,10 @@ def extract_features(df: DataFrame, doc: str, text: str, n: int = 3, stem: str |
     With a (word, tag) table the part-of-speech family is added."""
     words = df.select(doc, plain_tokens(text, stem).alias("_words"),
                       F.transform(split_whitespace(text), F.lower).alias("_raw"))
-    families = ngram_features(words, doc, "_words", n).unionByName(
-        negation_features(words, doc, negations, F.col("_raw" if pre_stem else "_words")))
+    if pre_stem:
+        families = ngram_features(words, doc, "_words", n).unionByName(negation_features(words, doc, negations, F.col("_raw")))
+    else:  # both from the same words, so from one pass over them
+        families = _feature_rows(df, doc, plain_tokens(text, stem) if stem else F.col(text), _ngrams(n), _negations(negations))
     if tags is not None:
         families = families.unionByName(pos_features(
             positions_of(words, [doc], F.col("_words"), "word"), doc, tags))

@@ -62,17 +62,44 @@ def durable(df: DataFrame) -> DataFrame:
     Unlike a checkpoint the table is columnar, and Spark knows its size. The write's shuffle
     files go when it ends, not with some later collection of the driver's garbage; a session
     that has a setting for this keeps it."""
+    path = scratch_path(df.sparkSession, "table")
+    written(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, path: str, by: list[str] = ()) -> None:
+    """Write a table, in a folder for each value of the columns `by`, without leaving shuffle files."""
     spark = df.sparkSession
-    path = scratch_path(spark, "table")
     unset = spark.conf.get(TIDY, None) is None
     if unset:
         spark.conf.set(TIDY, "true")
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     finally:
         if unset:
             spark.conf.unset(TIDY)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of this session's, or a folder of one, that no later plan reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    base = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark)).toUri().getPath()
+    if not at.toUri().getPath().startswith(f"{base}/table-"):
+        raise ValueError(f"{path} is no scratch table")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def give_back() -> None:
+    """Return a worker's free memory: workers are kept for later tasks, beside those that run."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other systems' allocators
+        pass
 
 
 class Tables:
@@ -85,14 +112,20 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
-    def spread(self, name: str, key: str) -> DataFrame:
+    def spread(self, name: str, key: str, also: DataFrame | None = None) -> DataFrame:
         """The table for heavy work per row, hash-spread by its row key over every core and
         in parts that don't grow with it. Files alone come in splits of any size, and a
-        sum by row key and something else needs no other shuffle then."""
+        sum by row key and something else needs no other shuffle then. `also`: a table to join
+        by the key before, so that rows it lacks are not moved."""
         cores = self.spark.sparkContext.defaultParallelism
         size = (self.spark.read.format("binaryFile").load(self.path(name))
                 .agg(F.sum("length")).first()[0])
-        return getattr(self, name).repartition(max(cores, -(-size // SPREAD_BYTES)), key)
+        table = getattr(self, name)
+        if also is not None:
+            from .operators.relations import sized_join
+
+            table = sized_join(table, also, [key])
+        return table.repartition(max(cores, -(-size // SPREAD_BYTES)), key)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

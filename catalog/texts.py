@@ -160,7 +160,7 @@ def _(t):
 
 @entry("t08_text_classifier")
 def _(t):
-    labelled = docs(t).join(t.labels.select("doc_id", "quality").where("quality is not null"), "doc_id").select("doc_id", "text", "quality")
+    labelled = t.spread("documents", "doc_id", t.labels.select("doc_id", "quality").where("quality is not null")).select("doc_id", "text", "quality")
     parts = split_ordered(labelled, ["doc_id"], 0.7)
     _, predict = fit_text_classifier(parts.where("is_train = 1"), "doc_id", "text", "quality", negations=NEGATIONS)
     return score(predict(parts.where("is_train = 0")), accuracy=accuracy_of("quality", "prediction"), reviews=F.count(F.lit(1)))

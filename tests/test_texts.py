@@ -198,3 +198,27 @@ def test_spread_tables_come_in_parts_that_do_not_grow(spark, tmp_path, monkeypat
     assert docs.rdd.getNumPartitions() > 50 and docs.count() == 3000
     index = Q.build_index(Q.index_tokens(docs, "doc_id", "text"))
     assert index._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_features_of_a_pass_over_texts_equal_those_of_their_words(spark):
+    import random
+
+    rng = random.Random(8)
+    pieces = ["not", "of", "a1", "Zeile", "naïve", "x y", "--", "…", "don't", "é", "\x1c", "it's", "日本", "b"]
+    texts = [None, "", " \t\n", "…", *("".join(rng.choice(pieces) + rng.choice([" ", "\n", "\x0b ", "", "\r\n"]) for _ in range(n)) for n in (1, 2, 5, 40, 900))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    words = df.select("id", W.plain_tokens("text").alias("w"))
+    tokens = words.select("id", F.posexplode("w").alias("pos", "word"))
+    grams = words.select("id", F.explode(F.array_distinct(F.concat(*[W.ngrams(F.col("w"), k) for k in (1, 2, 3)]))).alias("g")).select(
+        "id", F.concat(F.lit("has("), "g", F.lit(")")).alias("feature"), F.lit(1.0).alias("value"))
+    want = grams.unionByName(W.negation_features(tokens, "id", ["not", "of"]))
+    for got in (W.extract_features(df, "id", "text", 3, negations=["not", "of"]),
+                W.ngram_features(words, "id", "w").unionByName(W.negation_features(words, "id", ["not", "of"], F.col("w")))):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_long_texts_are_taken_a_few_at_a_time(spark, monkeypatch):
+    df = spark.createDataFrame([(i, " ".join(f"w{j % (i + 3)}" for j in range(50 * i))) for i in range(8)], "id long, text string").coalesce(1)
+    want = sorted(map(tuple, W.extract_features(df, "id", "text").collect()))
+    monkeypatch.setattr(W, "TOKENS", 60)
+    assert sorted(map(tuple, W.extract_features(df, "id", "text").collect())) == want
