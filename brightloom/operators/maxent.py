@@ -320,7 +320,8 @@ def _sums(matrix: DataFrame, chances: np.ndarray | None, size: int, n: int) -> n
     def meet(part: int, rows: list[dict]) -> Iterator[dict]:
         yield {"part": [part], "cells": [sum(np.frombuffer(r["cells"].as_buffer()) for r in rows).tobytes()]}
 
-    tasks = matrix.select("cells").mapInArrow(add, "part int, cells binary")
+    cores = matrix.sparkSession.sparkContext.defaultParallelism  # each adds up its classes before anything moves
+    tasks = matrix.select("cells").coalesce(cores).mapInArrow(add, "part int, cells binary")
     blocks = -(-size // BLOCK)
     found = durable(_by_part(tasks, blocks, "part int, cells binary", meet)).collect()
     out = [np.zeros((n, min(BLOCK, size - k * BLOCK))) for k in range(blocks)]
@@ -391,25 +392,47 @@ def _rows_of(dealt: DataFrame, own: np.ndarray) -> DataFrame:
     return dealt.select("kind", "cells").mapInArrow(run, "_key long, _w array<double>")
 
 
-def _members(own: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(_key, _group, _doc) of the features of one document and of shared ones, whose group is their class."""
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _owners(single: DataFrame, size: int) -> DataFrame:
+    """(_doc, _first, _m): by document the least key and the number of the features that it has alone."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, least = np.zeros(size, "int64"), np.full(size, np.iinfo("int64").max)
         for batch in batches:
             for cells in batch.column(0):
                 steps, docs = _unpack(cells.as_buffer())
-                yield pa.RecordBatch.from_arrays([pa.array(np.cumsum(steps).view("int64")), pa.array(docs.astype("int64"))], names=["_key", "_doc"])
+                count += np.bincount(docs.view("int64"), minlength=size)
+                np.minimum.at(least, docs.view("int64"), np.cumsum(steps).view("int64"))
+        there = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(least[there]), pa.array(count[there])], names=["_doc", "_first", "_m"])
+
+    cores = single.sparkSession.sparkContext.defaultParallelism
+    return (single.select("cells").coalesce(cores).mapInArrow(run, "_doc long, _first long, _m long")
+            .groupBy("_doc").agg(F.min("_first").alias("_first"), F.sum("_m").alias("_m")))
+
+
+def _firsts(names: DataFrame, each: bool) -> DataFrame:
+    """(_key, _first): shared features with the least key of their class, all of them or those themselves."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cells in batch.column(0):
+                steps, of = _unpack(cells.as_buffer())
+                keys, of = np.cumsum(steps).view("int64"), of.view("int64")
+                least = np.full(of.max() + 1, np.iinfo("int64").max)
+                np.minimum.at(least, of, keys)
+                keys, firsts = (keys, least[of]) if each else (least, least)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(firsts)], names=["_key", "_first"])
+
+    return names.mapInArrow(run, "_key long, _first long")
+
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _alone(single: DataFrame) -> DataFrame:
+    """(_key, _doc) of the features that one document has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for names in batch.column(0):
-                steps, of = _unpack(names.as_buffer())
-                keys, of = np.cumsum(steps).view("int64"), of.astype("int64")
-                order = np.lexsort([keys, of])
-                least = keys[order][np.flatnonzero(np.diff(of[order], prepend=-1))]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(least[of])], names=["_key", "_first"])
+            for cells in batch.column(0):
+                steps, docs = _unpack(cells.as_buffer())
+                yield pa.RecordBatch.from_arrays([pa.array(np.cumsum(steps).view("int64")), pa.array(docs.view("int64"))], names=["_key", "_doc"])
 
-    return (own.select("cells").mapInArrow(single, "_key long, _doc long"),
-            classes.select("names").mapInArrow(shared, "_key long, _first long"))
+    return single.select("cells").mapInArrow(run, "_key long, _doc long")
 
 
 def fit_maxent(features: DataFrame, labels: DataFrame, doc: str, label: str = "label", rounds: int = 25) -> MaxentModel:
@@ -426,7 +449,7 @@ def fit_maxent(features: DataFrame, labels: DataFrame, doc: str, label: str = "l
     round reads the classes with the probabilities of all documents: these add up to the
     expected count of each class and label, and the logarithm of observed over expected
     count, divided by the largest number of features of a document, moves the sums of the
-    class's documents. Nothing but these sums moves, from each task for each document. The
+    class's documents. Nothing but these sums moves, from each core for each document. The
     weights are made at the end, from the probabilities of all rounds. Pairs of feature and
     label that never occur have no weight. The labels, which have to be few, and for each
     document its key and the probabilities of every round are on the driver."""
@@ -451,9 +474,8 @@ def fit_maxent(features: DataFrame, labels: DataFrame, doc: str, label: str = "l
     forget_path(spark, f"{entries}/kind=1")
     matrix = spark.read.schema("part int, cells binary, names binary").parquet(met)
     members = durable(matrix.select("names"))
-    alone, classed = _members(single, members)
-    owners = durable(alone.groupBy("_doc").agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("_m")))
-    classes = owners.select("_first").unionByName(classed.select("_first").distinct())
+    owners = durable(_owners(single, size))
+    classes = owners.select("_first").unionByName(_firsts(members, False).select("_first"))
     numbered = number_rows(classes, ["_first"], "_class")
     own = np.zeros(size)
     counted = owners.select("_doc", "_m").toArrow()
@@ -484,6 +506,6 @@ def fit_maxent(features: DataFrame, labels: DataFrame, doc: str, label: str = "l
     dealt = durable(_weighted(matrix, history, most, n, parts)).unionByName(single)
     forget_path(spark, met)
     names = features.select(F.concat("feature", F.lit("="), _value().cast("string")).alias("_feature"), F.xxhash64("feature", _value()).alias("_key")).distinct()
-    first = alone.join(owners, "_doc").select("_key", "_first").unionByName(classed)
+    first = _alone(single).join(owners, "_doc").select("_key", "_first").unionByName(_firsts(members, True))
     weights = (names.join(_rows_of(dealt, own_weights), "_key").join(first, "_key").join(numbered, "_first").select("_feature", "_class", "_w"))
     return MaxentModel(doc, kinds, weights, slack, most, dealt, own_weights, parts)

@@ -102,3 +102,31 @@ def test_features_of_the_same_documents_are_fitted_as_one(spark, monkeypatch):
     want, slack, most, kinds = brute_force(bags, labels, 4)
     got = {(r["_feature"], k): w for r in model.weights.collect() for k, w in zip(kinds, r["_w"]) if w is not None}
     assert sizes == [8] and model.most == most and model.slack == pytest.approx(slack) and got == pytest.approx(want)
+
+
+def test_no_table_has_a_row_for_an_entry(spark, monkeypatch):
+    """Entries are dealt as packed numbers; what a round writes follows the documents."""
+    import brightloom.operators.maxent as maxent
+
+    sizes = []
+    durable = maxent.durable
+    monkeypatch.setattr(maxent, "durable", lambda df: sizes.append(df.count()) or durable(df))
+    entries = 60_000
+    features = spark.range(entries).selectExpr("id % 300 AS doc", "concat('has(', sha(string(id div 3 * 2)), ')') AS feature", "1.0D AS value")
+    labels = spark.range(300).selectExpr("id AS doc", "int(id % 2) AS label")
+    model = fit_maxent(features, labels, "doc", rounds=3)
+    assert sizes and max(sizes) <= 300
+    assert model.weights.count() == entries // 3 and model.predict(features).count() == 300
+
+
+def test_predictions_of_documents_with_other_keys_and_repeated_entries(spark):
+    rows = [(f"d{i}", f"has(w{i % 7})", 1.0) for i in range(70)] + [(f"d{i}", "all", 0.3) for i in range(70)]
+    features = spark.createDataFrame(rows, "doc string, feature string, value double")
+    labels = spark.createDataFrame([(f"d{i}", "xyz"[i % 7 % 3]) for i in range(70)], "doc string, label string")
+    model = fit_maxent(features, labels, "doc", rounds=6)
+    once = {r["doc"]: (r["prediction"], round(r["probability"], 12)) for r in model.predict(features).collect()}
+    twice = fit_maxent(features.union(features), labels, "doc", rounds=6)
+    again = {r["doc"]: (r["prediction"], round(r["probability"], 12)) for r in twice.predict(features.union(features).repartition(5)).collect()}
+    assert once == again and all(once[f"d{i}"][0] == "xyz"[i % 7 % 3] for i in range(70))
+    other = model.predict(spark.createDataFrame([("q", "never", 1.0)], "doc string, feature string, value double")).collect()
+    assert [(r["doc"], round(r["probability"], 9)) for r in other] == [("q", round(1 / 3, 9))]
